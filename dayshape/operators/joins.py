@@ -1,0 +1,64 @@
+"""Attaching one-row-per-key tables to facts whose keys may be heavily skewed."""
+
+from __future__ import annotations
+
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def plans_as_broadcast(table: DataFrame) -> bool:
+    """Whether Spark's own size estimate keeps the table under the session's broadcast limit."""
+    limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size <= limit
+
+
+def hot_keys(fact: DataFrame, on: list[str]) -> DataFrame:
+    """Keys heavier than an average shuffle partition; at most as many as there are partitions."""
+    width = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    present = fact.select(*on).dropna()
+    total = present.agg(F.count(F.lit(1)).alias("total"))
+    return (
+        present.groupBy(*on)
+        .agg(F.count(F.lit(1)).alias("key_rows"))
+        .where(F.col("key_rows") * F.lit(width) > total.scalar())
+        .select(*on)
+    )
+
+
+def attach(
+    fact: DataFrame,
+    table: DataFrame,
+    on: list[str],
+    how: str = "left",
+    split_hot: bool | None = None,
+) -> DataFrame:
+    """Join a table with one row per key to a fact.
+
+    A table that fits the broadcast limit is left to Spark. Beyond it the fact must be shuffled,
+    and one key may hold a large part of it; so rows of hot keys stay where they are and meet a
+    broadcast of just those keys' rows (bounded by the number of shuffle partitions), while the
+    others take a shuffle join in which no key outweighs an average partition. Rows without a key
+    match nothing and skip the shuffle.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"unsupported join type {how!r}")
+    if split_hot is None:
+        split_hot = not plans_as_broadcast(table)
+    if not split_hot:
+        return fact.join(table, on, how)
+
+    hot = F.broadcast(hot_keys(fact, on))
+    keyed = fact.dropna(subset=on)
+    heavy = keyed.join(hot, on, "left_semi").join(
+        F.broadcast(table.join(hot, on, "left_semi")), on, how
+    )
+    light = keyed.join(hot, on, "left_anti").join(table, on, how)
+    joined = heavy.unionByName(light)
+    if how == "left":
+        absent = reduce(or_, [F.col(c).isNull() for c in on])
+        joined = joined.unionByName(fact.where(absent), allowMissingColumns=True)
+    return joined
