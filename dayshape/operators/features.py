@@ -11,6 +11,7 @@ from dayshape.functions import half_up, index_of, spread
 from dayshape.operators.clean import period_split
 from dayshape.operators.joins import attach
 from dayshape.operators.quality import component_identity, corr_with
+from dayshape.sources import write_tables
 from dayshape.spec import FeatureSet, Spec, Split
 
 
@@ -49,10 +50,19 @@ def attach_history(
     )
 
 
-def feature_blocks(df: DataFrame, spec: Spec, split: Split) -> tuple[DataFrame, DataFrame]:
-    """Training and test block, both carrying the history of the training block alone."""
+def feature_blocks(
+    df: DataFrame, spec: Spec, split: Split, directory: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Training and test block, both carrying the history of the training block alone.
+
+    With a directory the history is written there and read back: both blocks and the defaults
+    then share one computation, and its size is known when the joins are planned.
+    """
     train, test = period_split(df, spec, split)
     history = entity_history(train, spec)
+    if directory is not None:
+        paths = write_tables({f"history_{split.name}": history}, directory)
+        history = df.sparkSession.read.parquet(*paths.values())
     return attach_history(train, history, spec), attach_history(test, history, spec)
 
 

@@ -90,22 +90,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with their nation and region; one row per customer."""
-    return (
-        table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            "c_custkey",
-            "c_name",
-            "c_mktsegment",
-            "c_acctbal",
-            "n_name",
-            F.col("n_nationkey").cast("double").alias("lon"),
-            "r_regionkey",
-            "r_name",
-        )
+def with_places(facts: DataFrame, spark: SparkSession, sf_dir: str, customer: str) -> DataFrame:
+    """Facts with the customer, nation and region they belong to.
+
+    One stored table is attached at a time, so each join is judged by a known size: the customers
+    grow with the data, the nations and regions do not.
+    """
+    who = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", customer)
+    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    region = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    placed = attach(facts, who, [customer], "inner")
+    placed = attach(placed, nation, ["c_nationkey"], "inner")
+    placed = attach(placed, region, ["n_regionkey"], "inner")
+    return placed.select(
+        *facts.columns,
+        "c_name",
+        "c_mktsegment",
+        "c_acctbal",
+        "n_name",
+        F.col("c_nationkey").cast("double").alias("lon"),
+        F.col("n_regionkey").alias("r_regionkey"),
+        "r_name",
     )
 
 
@@ -124,8 +129,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    where = places(spark, sf_dir).withColumnsRenamed({"c_custkey": "user_id", "c_acctbal": "lat"})
-    return attach(events(spark, sf_dir), where, ["user_id"], "inner")
+    facts = with_places(events(spark, sf_dir), spark, sf_dir, "user_id")
+    return facts.withColumnRenamed("c_acctbal", "lat")
 
 
 def hourly_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,11 +176,9 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    where = places(spark, sf_dir).withColumnRenamed("c_custkey", "o_custkey")
     flag = F.when(F.col("c_mktsegment").isin(list(YEARLY.major_classes)), 1).otherwise(0)
-    return attach(orders(spark, sf_dir), where, ["o_custkey"], "inner").withColumn(
-        "is_major", flag
-    )
+    facts = with_places(orders(spark, sf_dir), spark, sf_dir, "o_custkey")
+    return facts.withColumn("is_major", flag)
 
 
 def annual_flow(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -165,7 +165,7 @@ def table_scale(spark, sf_dir):
 
 @query
 def prediction_sample(spark, sf_dir):
-    train, test = features.feature_blocks(b.lines(spark, sf_dir), LINES, PRIMARY)
+    train, test = features.feature_blocks(b.lines(spark, sf_dir), LINES, PRIMARY, scratch(spark))
     scored = evaluate.baseline_predictions(train, test, LINES, "primary")
     path = f"{scratch(spark)}/predictions.parquet"
     sources.sample_rows(scored, target=20_000, seed=42).write.parquet(path)
@@ -748,7 +748,7 @@ def feature_blocks(spark, sf_dir):
 
 
 def _encoded_lines(spark, sf_dir):
-    train, _ = features.feature_blocks(b.lines(spark, sf_dir), LINES, PRIMARY)
+    train, _ = features.feature_blocks(b.lines(spark, sf_dir), LINES, PRIMARY, scratch(spark))
     train = train.withColumn(
         "p_type", F.when(F.col("l_partkey") % 31 != 0, F.col("p_type"))
     )
@@ -829,12 +829,11 @@ def run_split(spark, sf_dir):
     facts = b.lines(spark, sf_dir)
     parts = []
     for split in SPLITS:
-        run = models.run_split(facts, LINES, LINE_FEATURES, split)
-        train, test = features.feature_blocks(facts, LINES, split)
+        run = models.run_split(facts, LINES, LINE_FEATURES, split, directory=scratch(spark))
         scores = evaluate.with_efficiency(
             evaluate.score(run.predictions), models.fit_seconds(spark, run.fits)
         )
-        parts += [evaluate.trivial_baselines(train, test, LINES, split.name), scores]
+        parts += [evaluate.trivial_baselines(run.train, run.test, LINES, split.name), scores]
     return evaluate.skill(evaluate.results_table(*parts))
 
 
@@ -849,7 +848,7 @@ def relative_target(spark, sf_dir):
 
 
 def _blocks(spark, sf_dir, split):
-    return features.feature_blocks(b.yearly(spark, sf_dir), YEARLY, split)
+    return features.feature_blocks(b.yearly(spark, sf_dir), YEARLY, split, scratch(spark))
 
 
 def _predictions(spark, sf_dir) -> DataFrame:
@@ -869,7 +868,7 @@ def _model_results(spark, sf_dir) -> DataFrame:
     wanted = {"primary": ("hist_mean", "month"), "control": ("hist_mean",)}
     parts = []
     for split in SPLITS:
-        train, test = features.feature_blocks(b.yearly(spark, sf_dir), YEARLY, split)
+        train, test = features.feature_blocks(b.yearly(spark, sf_dir), YEARLY, split, scratch(spark))
         parts.append(evaluate.trivial_baselines(train, test, YEARLY, split.name))
         for column in wanted[split.name]:
             encode = models.encoder(FeatureSet((), (column,))).fit(train)

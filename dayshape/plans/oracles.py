@@ -190,7 +190,7 @@ def _matrix_sql() -> str:
     cells = []
     for a in MATRIX:
         for c in MATRIX:
-            value = "1.0::DOUBLE" if a == c else r(f"corr({a}, {c})")
+            value = "max(1.0::DOUBLE)" if a == c else r(f"corr({a}, {c})")
             cells.append(f"SELECT '{a}' AS \"left\", '{c}' AS \"right\", {value} AS r FROM known")
     return (
         f"WITH {LINES}, known AS (SELECT * REPLACE (CASE WHEN l_orderkey % 97 <> 0 THEN l_tax END "
