@@ -778,12 +778,9 @@ def _weights(spark, sf_dir, name: str) -> DataFrame:
     block = _encoded_lines(spark, sf_dir).select(
         LINES.measure, models.RAW_VECTOR, models.SCALED_VECTOR
     )
-    block = block.persist()
-    try:
-        fitted = models.fit(name, models.learners(LINES.measure)[name], block, "primary")
-        return models.interpret(block, fitted)
-    finally:
-        block.unpersist()
+    with models.kept_in_memory(block) as kept:
+        fitted = models.fit(name, models.learners(LINES.measure)[name], kept, "primary")
+    return models.interpret(block, fitted)
 
 
 @query
