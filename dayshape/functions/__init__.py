@@ -4,8 +4,7 @@ from dayshape.functions.numeric import (
     half_up,
     index_of,
     middle,
-    quantile_of,
     spread,
 )
 
-__all__ = ["floor_bin", "group_index", "half_up", "index_of", "middle", "quantile_of", "spread"]
+__all__ = ["floor_bin", "group_index", "half_up", "index_of", "middle", "spread"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,28 +44,40 @@ def histogram(df: DataFrame, column: str, width: float = 100, upper: float = 500
 def corr_matrix(df: DataFrame, columns: Sequence[str], places: int = 6) -> DataFrame:
     """Pearson correlations (left, right, r) over the rows where every column is known.
 
-    All pairs share one aggregate, so the fact is read once whatever the number of columns.
+    One aggregate of plain sums of products serves all pairs, so the fact is read once whatever
+    the number of columns, inside generated code. The sums are taken around values close to the
+    data (means of a few rows): the result does not depend on them, only its accuracy does.
     """
-    known = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    cells = [
-        F.struct(
-            F.lit(a).alias("a"), F.lit(b).alias("b"), half_up(F.corr(a, b), places).alias("r")
-        )
-        for a, b in combinations(columns, 2)
-    ]
-    pairs = known.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
-    both = F.array(
-        F.struct(F.col("a").alias("left"), F.col("b").alias("right"), "r"),
-        F.struct(F.col("b").alias("left"), F.col("a").alias("right"), "r"),
+    known = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in columns]).dropna()
+    means = ", ".join(f"coalesce(avg(`{c}`), 0.0D) AS `{c}`" for c in columns)
+    near = known.limit(1000).agg(F.expr(f"struct({means})").alias("near")).scalar()
+    centred = known.select(*[(F.col(c) - near.getField(c)).alias(c) for c in columns])
+    pairs = combinations_with_replacement(columns, 2)
+    sums = centred.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.expr(f"sum(`{c}`) AS `s {c}`") for c in columns],
+        *[F.expr(f"sum(`{a}` * `{c}`) AS `p {a} {c}`") for a, c in pairs],
     )
-    ones = F.array(
-        *[
-            F.struct(F.lit(c).alias("left"), F.lit(c).alias("right"), F.lit(1.0).alias("r"))
-            for c in columns
-        ]
+
+    def cell(left: str, right: str) -> str:
+        a, c = sorted((left, right), key=columns.index)
+        return (
+            f"struct('{left}' AS left, '{right}' AS right, `s {left}` AS l, `s {right}` AS r, "
+            f"`p {a} {c}` AS lr, `p {left} {left}` AS ll, `p {right} {right}` AS rr)"
+        )
+
+    cells = ", ".join(cell(left, right) for left in columns for right in columns)
+    lines = sums.selectExpr("n", f"inline(array({cells}))")
+
+    def joint(both: str, one: str, other: str) -> Column:
+        return F.col(both) - F.col(one) * F.col(other) / F.col("n")
+
+    scale = F.sqrt(joint("ll", "l", "l") * joint("rr", "r", "r"))
+    r = F.when(scale > 0, joint("lr", "l", "r") / scale)
+    diagonal = F.col("left") == F.col("right")
+    return lines.select(
+        "left", "right", F.when(diagonal, 1.0).otherwise(half_up(r, places)).alias("r")
     )
-    first = (F.col("a") == columns[0]) & (F.col("b") == columns[1])
-    return pairs.select(F.inline(F.concat(both, F.when(first, ones).otherwise(F.array()))))
 
 
 def corr_with(

@@ -747,40 +747,34 @@ def feature_blocks(spark, sf_dir):
     return plain(both.select("block", "o_orderkey", "hist_mean", "hist_sd", "hist_periods"), 4)
 
 
-def _encoded_lines(spark, sf_dir):
-    train, _ = features.feature_blocks(b.lines(spark, sf_dir), LINES, PRIMARY, scratch(spark))
-    train = train.withColumn(
-        "p_type", F.when(F.col("l_partkey") % 31 != 0, F.col("p_type"))
+def _training_lines(spark, sf_dir) -> DataFrame:
+    train, _ = features.feature_blocks(
+        b.lines(spark, sf_dir), LINES, PRIMARY, scratch(spark)
     )
-    return models.encoder(LINE_FEATURES).fit(train).transform(train)
+    gaps = F.when(F.col("l_partkey") % 31 != 0, F.col("p_type"))
+    return train.withColumn("p_type", gaps).select(LINES.measure, *LINE_FEATURES.names)
 
 
 @query
 def encode_features(spark, sf_dir):
-    block = _encoded_lines(spark, sf_dir)
-    names = models.slot_names(block)
+    train = _training_lines(spark, sf_dir)
+    block = models.encoder(LINE_FEATURES).fit(train).transform(train)
     means = block.agg(
         Summarizer.metrics("mean", "count").summary(F.col(models.RAW_VECTOR)).alias("s")
     )
-    return plain(
-        means.select(
-            F.inline(
-                F.arrays_zip(
-                    F.array(*[F.lit(n) for n in names]).alias("feature"),
-                    vector_to_array("s.mean").alias("mean"),
-                )
-            )
-        )
+    named = F.arrays_zip(
+        F.array(*[F.lit(n) for n in models.slot_names(block)]).alias("feature"),
+        vector_to_array("s.mean").alias("mean"),
     )
+    return plain(means.select(F.inline(named)))
 
 
-def _weights(spark, sf_dir, name: str) -> DataFrame:
-    block = _encoded_lines(spark, sf_dir).select(
-        LINES.measure, models.RAW_VECTOR, models.SCALED_VECTOR
-    )
-    with models.kept_in_memory(block) as kept:
-        fitted = models.fit(name, models.learners(LINES.measure)[name], kept, "primary")
-    return models.interpret(block, fitted)
+def _weights(spark, sf_dir, *names: str) -> DataFrame:
+    with models.kept_in_memory(_training_lines(spark, sf_dir)) as block:
+        encoded = models.encoder(LINE_FEATURES).fit(block).transform(block)
+        offered = models.learners(LINES.measure)
+        fits = [models.fit(name, offered[name], encoded, "primary") for name in names]
+    return evaluate.results_table(*[models.interpret(encoded, fitted) for fitted in fits])
 
 
 @query
@@ -800,8 +794,7 @@ def fit_gbt(spark, sf_dir):
 
 @query
 def interpret(spark, sf_dir):
-    linear = _weights(spark, sf_dir, "linear")
-    return evaluate.results_table(linear, _weights(spark, sf_dir, "forest"))
+    return _weights(spark, sf_dir, "linear", "forest")
 
 
 @query
@@ -814,8 +807,9 @@ def importance_share(spark, sf_dir):
 
 @query
 def tune_forest(spark, sf_dir):
-    block = _encoded_lines(spark, sf_dir).select(LINES.measure, models.RAW_VECTOR)
-    fitted, chosen = models.tune_forest(block, LINES.measure, "primary")
+    with models.kept_in_memory(_training_lines(spark, sf_dir)) as block:
+        encoded = models.encoder(LINE_FEATURES).fit(block).transform(block)
+        fitted, chosen = models.tune_forest(encoded, LINES.measure, "primary")
     return spark.createDataFrame(
         [(fitted.name, chosen["trees"], chosen["depth"])], "model string, trees int, depth int"
     )
