@@ -1,0 +1,58 @@
+from pyspark.sql import functions as F
+
+from dayshape.operators.joins import attach, hot_keys
+
+
+def skewed(spark):
+    """A third of the rows on one key, a sixth without a key, the rest spread out."""
+    i = F.col("id")
+    key = F.when(i % 3 == 0, 7).when(i % 6 == 1, None).otherwise(i % 101 + 10)
+    return spark.range(3000).select(key.cast("bigint").alias("k"), i.alias("row"))
+
+
+def table(spark):
+    return spark.range(60).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+
+
+def test_only_heavy_keys_are_hot_and_they_are_few(spark, rows):
+    found = rows(hot_keys(skewed(spark), ["k"]))
+    assert found == [(7,)]
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    even = spark.range(1000).select((F.col("id") % (2 * width)).alias("k"))
+    assert hot_keys(even, ["k"]).count() == 0
+
+
+def test_split_join_equals_plain_join(spark, rows):
+    fact, dim = skewed(spark), table(spark)
+    for how in ("left", "inner"):
+        plain = fact.join(dim, ["k"], how)
+        split = attach(fact, dim, ["k"], how, split_hot=True)
+        assert rows(split, "k", "row", "v") == rows(plain, "k", "row", "v")
+
+
+def test_large_table_is_split_and_small_one_is_not(spark):
+    fact, dim = skewed(spark), table(spark)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+
+    def unions(df):
+        return "Union" in df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert not unions(attach(fact, dim, ["k"], "left"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        assert unions(attach(fact, dim, ["k"], "left"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_hot_rows_do_not_shuffle(spark):
+    fact, dim = skewed(spark), table(spark)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = attach(fact, dim, ["k"], "inner")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    heavy, light = plan.split("Union", 1)[1].split("SortMergeJoin", 1)
+    assert "BroadcastHashJoin" in heavy
+    assert "LeftAnti" in light
