@@ -36,7 +36,7 @@ def attach(
     how: str = "left",
     split_hot: bool | None = None,
 ) -> DataFrame:
-    """Join a table with one row per key to a fact.
+    """Join a table with one row per key to a fact (left, inner or left_semi).
 
     A table that fits the broadcast limit is left to Spark. Beyond it the fact must be shuffled,
     and one key may hold a large part of it; so rows of hot keys stay where they are and meet a
@@ -44,7 +44,7 @@ def attach(
     others take a shuffle join in which no key outweighs an average partition. Rows without a key
     match nothing and skip the shuffle.
     """
-    if how not in ("left", "inner"):
+    if how not in ("left", "inner", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
     if split_hot is None:
         split_hot = not plans_as_broadcast(table)

@@ -35,14 +35,17 @@ def repair_fk(child: DataFrame, foreign: str, parent: DataFrame, key: str) -> Da
 
 def keep_known(fact: DataFrame, entities: DataFrame, spec: Spec) -> DataFrame:
     """Fact rows whose entity has a dimension row."""
-    return fact.join(entities.select(spec.entity), spec.entity, "left_semi")
+    return attach(fact, entities.select(spec.entity), [spec.entity], "left_semi")
 
 
 def drop_report(fact: DataFrame, entities: DataFrame, spec: Spec) -> DataFrame:
-    """How many rows ``keep_known`` leaves out (rows without an entity included)."""
-    return fact.join(entities.select(spec.entity), spec.entity, "left_anti").agg(
-        F.count(F.lit(1)).alias("dropped_rows")
-    )
+    """How many rows ``keep_known`` leaves out (rows without an entity included).
+
+    Rows are counted per entity before the join, so only one row per entity is shuffled.
+    """
+    sizes = fact.groupBy(spec.entity).agg(F.count(F.lit(1)).alias("n_rows"))
+    unknown = sizes.join(entities.select(spec.entity), spec.entity, "left_anti")
+    return unknown.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("dropped_rows"))
 
 
 def annual_fact(
