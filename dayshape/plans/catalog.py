@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -45,8 +46,7 @@ def scratch(spark: SparkSession) -> str:
     """A new folder below the cluster's shared one; a local folder only in local mode."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        unique = spark.sql("SELECT uuid()").first()[0]
-        return f"{shared.rstrip('/')}/dayshape-{unique}"
+        return f"{shared.rstrip('/')}/dayshape-{uuid.uuid4()}"
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix="dayshape-")
@@ -925,7 +925,9 @@ def error_by_class(spark, sf_dir):
 
 @query
 def density_2d(spark, sf_dir):
-    return plain(evaluate.density_2d(_predictions(spark, sf_dir)))
+    # Limits, their exact values and the cells are three passes: store the forecasts first.
+    stored = sources.write_tables({"predictions": _predictions(spark, sf_dir)}, scratch(spark))
+    return plain(evaluate.density_2d(spark.read.parquet(stored["predictions"])))
 
 
 @query
