@@ -78,17 +78,22 @@ def baseline_predictions(
 def trivial_baselines(train: DataFrame, test: DataFrame, spec: Spec, split: str) -> DataFrame:
     """Scores of the two naive forecasts: one aggregate with both side by side."""
     overall = train.agg(F.avg(spec.measure).alias("m")).scalar()
-    actual = F.col(spec.measure).cast("double")
     forecasts = {MEAN_BASELINE: overall, HISTORY_BASELINE: F.col("hist_mean")}
+    # Forecasts become columns first: an aggregate takes no subquery that is not deterministic,
+    # and the plan of a skewed join deals rows out by partition.
+    side_by_side = test.select(
+        F.col(spec.measure).cast("double").alias("actual"),
+        *[forecast.alias(name) for name, forecast in forecasts.items()],
+    )
     sums = []
-    for name, forecast in forecasts.items():
-        error = forecast - actual
+    for name in forecasts:
+        error = F.col(name) - F.col("actual")
         sums += [
             F.avg(error * error).alias(f"{name}_mse"),
             F.avg(F.abs(error)).alias(f"{name}_mae"),
         ]
-    row = test.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.var_pop(actual).alias("variance"), *sums
+    row = side_by_side.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.var_pop("actual").alias("variance"), *sums
     )
     lines = []
     for name in forecasts:

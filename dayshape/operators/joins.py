@@ -16,9 +16,13 @@ def plans_as_broadcast(table: DataFrame) -> bool:
     return size <= limit
 
 
+def shuffle_width(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def hot_keys(fact: DataFrame, on: list[str]) -> DataFrame:
     """Keys heavier than an average shuffle partition; at most as many as there are partitions."""
-    width = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = shuffle_width(fact)
     present = fact.select(*on).dropna()
     total = present.agg(F.count(F.lit(1)).alias("total"))
     return (
@@ -35,14 +39,17 @@ def attach(
     on: list[str],
     how: str = "left",
     split_hot: bool | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join a table with one row per key to a fact (left, inner or left_semi).
 
     A table that fits the broadcast limit is left to Spark. Beyond it the fact must be shuffled,
-    and one key may hold a large part of it; so rows of hot keys stay where they are and meet a
-    broadcast of just those keys' rows (bounded by the number of shuffle partitions), while the
-    others take a shuffle join in which no key outweighs an average partition. Rows without a key
-    match nothing and skip the shuffle.
+    and one key may hold a large part of it. Rows of hot keys then take their values from a
+    broadcast of just those keys (at most as many as shuffle partitions); they and the rows
+    without a key can match nothing in the shuffle join that follows, so they are dealt out over
+    all its partitions, and no partition holds a heavy key. The fact is read once for the join
+    and its keys once to find the hot ones; ``keys_from`` may name a cheaper frame with the same
+    keys, such as the stored fact before other joins.
     """
     if how not in ("left", "inner", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -51,14 +58,37 @@ def attach(
     if not split_hot:
         return fact.join(table, on, how)
 
-    hot = F.broadcast(hot_keys(fact, on))
-    keyed = fact.dropna(subset=on)
-    heavy = keyed.join(hot, on, "left_semi").join(
-        F.broadcast(table.join(hot, on, "left_semi")), on, how
+    values = [] if how == "left_semi" else [c for c in table.columns if c not in on]
+    hot = F.broadcast(hot_keys(fact if keys_from is None else keys_from, on))
+    few = table.join(hot, on, "left_semi").select(
+        *on, F.lit(True).alias("__found"), *[F.col(c).alias(f"__hot_{c}") for c in values]
+    )
+    heavy = hot.withColumn("__heavy", F.lit(True)).join(F.broadcast(few), on, "left")
+    tagged = fact.join(F.broadcast(heavy), on, "left")
+
+    apart = F.col("__heavy").isNotNull() | reduce(or_, [F.col(c).isNull() for c in on])
+    # Depends on the row and its input partition only: a repeated task deals it out the same way,
+    # and equal rows from different partitions still part.
+    hashable = [name for name, kind in fact.dtypes if "map<" not in kind]
+    deal = F.xxhash64(*hashable, F.spark_partition_id())
+    left_keys = {f"__key_{c}": F.when(~apart, F.col(c)) for c in on}
+    tagged = tagged.withColumns({**left_keys, "__part": F.when(apart, deal).otherwise(0)})
+
+    # Always 0, but not a literal: a literal would be folded out of the join keys, and with it
+    # the spreading of the rows that match nothing.
+    zero = F.pmod(F.xxhash64(*on), F.lit(1).cast("bigint"))
+    light = table.select(
+        *[F.col(c).alias(f"__key_{c}") for c in on],
+        zero.alias("__part"),
+        F.lit(True).alias("__matched"),
+        *[F.col(c).alias(f"__light_{c}") for c in values],
     )
-    light = keyed.join(hot, on, "left_anti").join(table, on, how)
-    joined = heavy.unionByName(light)
-    if how == "left":
-        absent = reduce(or_, [F.col(c).isNull() for c in on])
-        joined = joined.unionByName(fact.where(absent), allowMissingColumns=True)
-    return joined
+    joined = tagged.join(light, [*left_keys, "__part"], "left")
+    if how != "left":
+        joined = joined.where(F.col("__matched").isNotNull() | F.col("__found").isNotNull())
+    picked = [
+        F.when(F.col("__heavy"), F.col(f"__hot_{c}")).otherwise(F.col(f"__light_{c}")).alias(c)
+        for c in values
+    ]
+    others = [c for c in fact.columns if c not in on]
+    return joined.select(*on, *others, *picked)

@@ -155,9 +155,9 @@ def iqr_outliers(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
         ).alias("f")
     )
     f = fences.scalar()
-    counted = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if((x < f.getField("low")) | (x > f.getField("high"))).alias("outliers"),
+    beyond = (x < f.getField("low")) | (x > f.getField("high"))
+    counted = df.select(beyond.alias("beyond")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("beyond").alias("outliers")
     )
     return counted.select(
         *[f.getField(n).alias(n) for n in ("q1", "q3", "low", "high")],

@@ -214,4 +214,5 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
     )
-    return attach(attach(rows, part, ["l_partkey"], "inner"), supplier, ["l_suppkey"], "inner")
+    with_part = attach(rows, part, ["l_partkey"], "inner")
+    return attach(with_part, supplier, ["l_suppkey"], "inner", keys_from=rows)

@@ -1,8 +1,12 @@
-"""Run catalog queries beside their SQL counterparts: python tests/sidebyside.py [sf] [names...]"""
+"""Run catalog queries beside their SQL counterparts: python tests/sidebyside.py [sf] [names...]
+
+With NO_BROADCAST=1 no table counts as small, so every join takes the path for large tables.
+"""
 
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -66,6 +70,8 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("NO_BROADCAST"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     con = connect(sf)
     failed = []
     for name in names:

@@ -30,29 +30,58 @@ def test_split_join_equals_plain_join(spark, rows):
         assert rows(split, *plain.columns) == rows(plain, *plain.columns)
 
 
-def test_large_table_is_split_and_small_one_is_not(spark):
-    fact, dim = skewed(spark), table(spark)
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+def test_hot_keys_without_a_table_row_stay_in_a_left_join(spark, rows):
+    fact, dim = skewed(spark), table(spark).where("k <> 7")
+    plain = fact.join(dim, ["k"], "left")
+    split = attach(fact, dim, ["k"], "left", split_hot=True, keys_from=fact.select("k"))
+    assert rows(split, "k", "row", "v") == rows(plain, "k", "row", "v")
 
-    def unions(df):
-        return "Union" in df._jdf.queryExecution().optimizedPlan().toString()
 
-    assert not unions(attach(fact, dim, ["k"], "left"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
-    try:
-        assert unions(attach(fact, dim, ["k"], "left"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+def test_chained_splits_keep_all_rows(spark, rows):
+    fact = skewed(spark).withColumn("k2", F.col("row") % 2)
+    dim = table(spark)
+    other = spark.range(2).select(F.col("id").alias("k2"), (F.col("id") + 100).alias("w"))
+    chained = attach(
+        attach(fact, dim, ["k"], "inner", True), other, ["k2"], "left", True, keys_from=fact
+    )
+    plain = fact.join(dim, ["k"]).join(other, ["k2"], "left")
+    columns = ["k", "k2", "row", "v", "w"]
+    assert rows(chained, *columns) == rows(plain, *columns)
 
 
-def test_hot_rows_do_not_shuffle(spark):
-    fact, dim = skewed(spark), table(spark)
+def without_broadcast(spark, build):
+    """What ``build`` returns when no table is small enough for Spark to broadcast by itself."""
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = attach(fact, dim, ["k"], "inner")._jdf.queryExecution().executedPlan().toString()
+        return build()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    heavy, light = plan.split("Union", 1)[1].split("SortMergeJoin", 1)
-    assert "BroadcastHashJoin" in heavy
-    assert "LeftAnti" in light
+
+
+def test_large_table_is_split_and_small_one_is_not(spark):
+    def marked():
+        joined = attach(skewed(spark), table(spark), ["k"], "left")
+        return "__heavy" in joined._jdf.queryExecution().analyzed().toString()
+
+    assert not marked()
+    assert without_broadcast(spark, marked)
+
+
+def test_rows_without_a_match_are_dealt_out(spark):
+    """The part number must survive as a join key, or all such rows would share one partition."""
+
+    def parts():
+        joined = attach(skewed(spark), table(spark), ["k"], "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        keys = plan.split("SortMergeJoin [", 1)[1].split("]", 1)[0]
+        sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        return keys, sizes
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        keys, sizes = without_broadcast(spark, parts)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "__key_k" in keys and "__part" in keys
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 3000 / 8 * 1.5
