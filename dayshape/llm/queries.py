@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from dayshape.llm.decontaminate import op2
+from dayshape.llm.near_copies import op3
 from dayshape.llm.packing import op6
 from dayshape.llm.token_counts import op10
 
 QUERIES = {
     "op2_benchmark_decontamination": op2,
+    "op3_minhash_near_dedup": op3,
     "op6_best_fit_packing": op6,
     "op10_token_counts": op10,
 }
