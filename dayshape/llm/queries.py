@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from dayshape.llm.decontaminate import op2
+from dayshape.llm.license_scan import op7
 from dayshape.llm.near_copies import op3
 from dayshape.llm.packing import op6
 from dayshape.llm.token_counts import op10
+from dayshape.llm.top_products import ORACLE as TOP_PRODUCTS
+from dayshape.llm.top_products import op9
 
 QUERIES = {
     "op2_benchmark_decontamination": op2,
     "op3_minhash_near_dedup": op3,
     "op6_best_fit_packing": op6,
+    "op7_license_scan": op7,
+    "op9_exact_top_products": op9,
     "op10_token_counts": op10,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_exact_top_products": TOP_PRODUCTS}
