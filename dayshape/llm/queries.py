@@ -9,10 +9,12 @@ from dayshape.llm.packing import op6
 from dayshape.llm.token_counts import op10
 from dayshape.llm.top_products import ORACLE as TOP_PRODUCTS
 from dayshape.llm.top_products import op9
+from dayshape.llm.toxicity import op5
 
 QUERIES = {
     "op2_benchmark_decontamination": op2,
     "op3_minhash_near_dedup": op3,
+    "op5_toxicity": op5,
     "op6_best_fit_packing": op6,
     "op7_license_scan": op7,
     "op9_exact_top_products": op9,
