@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from dayshape.llm.common import batch_of, by_batch
 
 SPACE = "▁"  # what the vocabulary writes for a space
-KNOWN_CHUNKS = 400_000  # chunks remembered by a worker; the memory is emptied when full
+KNOWN_CHUNKS = 600_000  # chunks remembered by a worker; the memory is emptied when full
 KNOWN_LENGTH = 64  # longer chunks are worked out each time
 
 
@@ -43,17 +43,18 @@ class PrefixCounter:
             )
         ]
         self.rank = {self.library.id_to_piece(i): self.library.get_score(i) for i in plain}
-        self.longest = max(map(len, self.rank))
         if any(SPACE in piece.lstrip(SPACE) for piece in self.rank):
             raise ValueError("a piece holds a space behind another character")
         steps = {score: i for i, score in enumerate(sorted(set(self.rank.values()), reverse=True))}
         #: When a piece comes into being: single characters are there from the start.
         self.born = {p: steps[score] if len(p) > 1 else -1 for p, score in self.rank.items()}
-        lengths: dict[str, set[int]] = {}
+        #: Pieces from their last character to their first; a node holds the piece that begins there.
+        self.backwards: dict = {}
         for piece in self.rank:
-            lengths.setdefault(piece[-2:], {1}).add(len(piece))
-        #: By its last two characters: the lengths that a piece can have, longest first.
-        self.lengths = {tail: tuple(sorted(found, reverse=True)) for tail, found in lengths.items()}
+            node = self.backwards
+            for char in reversed(piece):
+                node = node.setdefault(char, {})
+            node[""] = piece
         self.halves: dict[str, tuple[str, str]] = {}
         self.apart: dict[str, dict[str, bool]] = {}
         self.known: dict[str, tuple[int, bytes]] = {}
@@ -109,22 +110,31 @@ class PrefixCounter:
     def worked_out(self, chunk: str) -> list[int]:
         """The number of tokens of each prefix of a chunk, the empty one first."""
         counts, last = [0], [""]
-        born, lengths, apart, one = self.born, self.lengths, self.apart, (1,)
+        backwards, apart = self.backwards, self.apart
         for end in range(1, len(chunk) + 1):
-            for size in lengths.get(chunk[max(0, end - 2) : end], one):
-                piece = chunk[end - size : end] if size <= end else ""
-                if piece in born or size == 1:
-                    before = last[end - size]
-                    after = apart.get(before)
-                    if after is None:
-                        after = apart[before] = {}
-                    fits = after.get(piece)
-                    if fits is None:
-                        fits = after[piece] = self.stays(before, piece)
-                    if fits:
-                        counts.append(counts[end - size] + (1 if piece in born else len(piece.encode())))
-                        last.append(piece)
-                        break
+            node, start, ending = backwards, end, []
+            while start:
+                node = node.get(chunk[start - 1])
+                if node is None:
+                    break
+                start -= 1
+                if "" in node:
+                    ending.append((start, node[""]))
+            for start, piece in ending:
+                before = last[start]
+                after = apart.get(before)
+                if after is None:
+                    after = apart[before] = {}
+                fits = after.get(piece)
+                if fits is None:
+                    fits = after[piece] = self.stays(before, piece)
+                if fits:
+                    counts.append(counts[start] + 1)
+                    last.append(piece)
+                    break
+            else:  # an unknown character falls back to its bytes
+                counts.append(counts[end - 1] + len(chunk[end - 1].encode()))
+                last.append(chunk[end - 1])
         return counts
 
     def steps(self, chunk: str) -> tuple[int, bytes]:
