@@ -8,6 +8,7 @@ a piece fits nowhere and all are open, the fullest closes.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from dayshape.llm.common import batch_of, by_batch
 
 BORDER = "<|startoftext|>"
+#: Words of letters that lower-case and compose to one letter each.
+LETTERS = re.compile("[a-zA-Zß-öø-ÿÀ-ÖØ-Þ]+").fullmatch
 KNOWN_WORDS = 500_000  # words whose ids a worker remembers; the memory is emptied when full
 
 
@@ -37,28 +40,54 @@ class WordIds:
 
         self.library = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
+        words = self.library.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(self.library.get_vocab_size(), bool)
+        self.ends_word[[i for token, i in words.items() if token.endswith("</w>")]] = True
+        self.marks = {mark: self.encoded(mark).tobytes() for mark in ".,"}
 
     def made(self, words: list[str]) -> list[bytes]:
-        """The ids of each word, from one call: a special string between words marks the borders."""
-        plain = [word for word in words if BORDER not in word]
-        out = {w: np.array(self.library.encode(w, add_special_tokens=False).ids, "<u4") for w in words if BORDER in w}
-        if plain:
-            ids = np.array(self.library.encode(BORDER.join(plain), add_special_tokens=False).ids, "<u4")
+        """The ids of each word, from one call.
+
+        Words of plain letters are each one piece for the merges, so that the last of their ids
+        is one that ends a word; between other words a special string marks the borders.
+        """
+        simple = [word for word in words if LETTERS(word)]
+        marked = [word for word in words if not LETTERS(word) and BORDER not in word]
+        out = {w: self.encoded(w).tobytes() for w in words if BORDER in w}
+        if simple:
+            ids = self.encoded(" ".join(simple))
+            raw, ends = ids.tobytes(), (4 * np.flatnonzero(self.ends_word[ids]) + 4).tolist()
+            out |= zip(simple, (raw[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True)
+        if marked:
+            ids = self.encoded(BORDER.join(marked))
             cuts = np.flatnonzero(ids == self.library.token_to_id(BORDER))
-            out |= zip(plain, (x[1:] if i else x for i, x in enumerate(np.split(ids, cuts))), strict=True)
-        return [out[word].tobytes() for word in words]
+            out |= zip(marked, (x[i > 0 :].tobytes() for i, x in enumerate(np.split(ids, cuts))), strict=True)
+        return [out[word] for word in words]
+
+    def encoded(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def learn(self, words: set[str]) -> None:
+        """Remembers new words; behind plain letters, a full stop or comma is a piece of its own."""
+        known = self.known
+        stems = {w: w[:-1] for w in words if w[-1] in ".," and LETTERS(w[:-1])}
+        new = [*{*(w for w in words if w not in stems), *stems.values()} - known.keys()]
+        known.update(zip(new, self.made(new), strict=True))
+        for word, stem in stems.items():
+            known[word] = known[stem] + self.marks[word[-1]]
 
     def of(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [(x or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for x in texts]
         out = []
-        for words in split:
+        for first in range(0, len(texts), 200):
+            some = texts[first : first + 200]
+            split = [(x or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for x in some]
             if len(self.known) >= KNOWN_WORDS:
                 self.known = {"": b""}
-            new = [word for word in set(words) if word not in self.known]
+            new = set().union(*split) - self.known.keys()
             if new:
-                self.known.update(zip(new, self.made(new), strict=True))
-            out.append(b"".join(map(self.known.__getitem__, words)))
+                self.learn(new)
+            out += [b"".join(map(self.known.__getitem__, words)) for words in split]
         return out
 
 
