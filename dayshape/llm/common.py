@@ -74,7 +74,7 @@ def shared_folder(spark: SparkSession) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read back: its lineage ends there."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
