@@ -109,3 +109,55 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         roots = after.select("id", F.col("next").alias("root"))
         if not changed:
             return roots
+
+
+def linked(
+    members: DataFrame,
+    fits: Callable[[str, str], str],
+    confirm: Callable[[DataFrame], DataFrame],
+    name: str,
+) -> DataFrame:
+    """(id, root) of the components that confirmed links between candidates make.
+
+    members is (key, rep, size): rows with one key are candidates for links. fits(size, size) is a
+    condition without which two can't be linked; confirm takes pairs (a, b) and returns the links
+    among them. It runs in three rounds: in each bucket, all are held against the smallest; where
+    a bucket still spans several components, against the largest; then every fitting pair of
+    different components. Pairs within a component have nothing to add, so a bucket of near copies
+    costs about as many comparisons as it has rows.
+    """
+
+    def against(center, rows: DataFrame) -> DataFrame:
+        centers = rows.groupBy("key").agg(center(F.struct("rep", "size")).alias("c"))
+        return (
+            rows.join(centers, "key")
+            .where("rep <> c.rep")
+            .where(fits("size", "c.size"))
+            .select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b"))
+            .distinct()
+        )
+
+    def spanning(roots: DataFrame) -> DataFrame:
+        rooted = members.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select(
+            "key", "rep", "size", F.coalesce("root", "rep").alias("root")
+        )
+        ends = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        return stored(rooted.join(ends.where("low < high").select("key"), "key", "left_semi"), f"{name}-open")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return stored(confirm(stored(pairs, f"{name}-pairs")), f"{name}-links")
+
+    found = confirmed(against(F.min, members))
+    roots = components(found, f"{name}-roots")
+    found = found.unionAll(confirmed(against(F.max, spanning(roots))))
+    roots = components(found, f"{name}-roots")
+    open_ = spanning(roots)
+    other = open_.select("key", *(F.col(c).alias(f"{c}2") for c in ("rep", "size", "root")))
+    rest = (
+        open_.join(other, "key")
+        .where("root < root2")
+        .where(fits("size", "size2"))
+        .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b"))
+        .distinct()
+    )
+    return components(found.unionAll(confirmed(rest)), f"{name}-roots")

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayshape.llm.common import batch_of, by_batch, bytes_of, components, mixed, spaced_words, stored
+from dayshape.llm.common import batch_of, by_batch, bytes_of, linked, mixed, spaced_words, stored
 
 BAND_VALUES = 6  # values of a signature in one band
 MISSED = 1e-6  # chance that a pair right at the threshold shares no band
@@ -162,11 +162,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFra
     Rows that repeat a doc_id are each judged by their own text. A row without an id is linked with nothing: its
     component_id is null and it is kept. An empty table gives an empty result.
 
-    Candidates are confirmed in three rounds. In a bucket of equal band keys, each class is held
-    against the smallest of the bucket, then, where a bucket still spans several components,
-    against the largest, then every pair of classes of different components and fitting sizes.
-    Pairs within a component have nothing to add, so a bucket of near copies costs about as many
-    comparisons as it has rows.
+    Classes with an equal band are candidates; linked() says how few of their pairs are compared.
     """
     bands = n_bands(percent / 100)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -178,33 +174,12 @@ def near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFra
     entries = classes.select(F.explode("keys").alias("key"), "rep", "size")
     crowded = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = stored(entries.join(crowded, "key", "left_semi").distinct(), "buckets")
-
-    def against(center, rows: DataFrame) -> DataFrame:
-        centers = rows.groupBy("key").agg(center(F.struct("rep", "size")).alias("c"))
-        return (
-            rows.join(centers, "key")
-            .where("rep <> c.rep")
-            .where(fitting("size", "c.size", percent))
-            .select(F.col("rep").alias("a"), F.col("c.rep").alias("b"))
-            .distinct()
-        )
-
-    found = stored(links(stored(against(F.min, members), "pairs"), docs, shingle, percent), "links")
-    roots = components(found, "roots")
-    open_ = stored(spanning(members, roots), "open")
-    found = found.unionAll(stored(links(stored(against(F.max, open_), "pairs"), docs, shingle, percent), "links"))
-    roots = components(found, "roots")
-    open_ = stored(spanning(members, roots), "open")
-    other = open_.select("key", F.col("rep").alias("rep2"), F.col("size").alias("size2"), F.col("root").alias("root2"))
-    rest = (
-        open_.join(other, "key")
-        .where("root < root2")
-        .where(fitting("size", "size2", percent))
-        .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b"))
-        .distinct()
+    roots = linked(
+        members,
+        lambda one, two: f"100 * least({one}, {two}) >= {percent} * greatest({one}, {two})",
+        lambda pairs: links(pairs, docs, shingle, percent),
+        "near-copies",
     )
-    found = found.unionAll(stored(links(stored(rest, "pairs"), docs, shingle, percent), "links"))
-    roots = components(found, "roots")
     named = classes.select("digest", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
     placed = signed.select("doc_id", "n_shingles", "digest").join(
         named.select("digest", F.coalesce("root", "rep").alias("root")), "digest", "left"
@@ -218,20 +193,6 @@ def near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFra
     )
 
 
-def fitting(one: str, two: str, percent: int) -> str:
-    """Sets of these sizes can reach the threshold."""
-    return f"100 * least({one}, {two}) >= {percent} * greatest({one}, {two})"
-
-
-def spanning(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """The members, with their root, of buckets that span several components."""
-    rooted = members.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "key", "rep", "size", F.coalesce("root", "rep").alias("root")
-    )
-    several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    return rooted.join(several.select("key"), "key", "left_semi")
-
-
 def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs that near_copies() keeps; all columns stay, and rows without an id too."""
     gone = near_copies(docs, shingle, percent).where("not kept").select("doc_id").distinct()

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 from dayshape.llm.decontaminate import op2
 from dayshape.llm.license_scan import op7
+from dayshape.llm.lines import op1
 from dayshape.llm.near_copies import op3
 from dayshape.llm.packing import op6
+from dayshape.llm.substrings import op8
 from dayshape.llm.token_counts import op10
 from dayshape.llm.top_products import ORACLE as TOP_PRODUCTS
 from dayshape.llm.top_products import op9
 from dayshape.llm.toxicity import op5
 
 QUERIES = {
+    "op1_line_dedup": op1,
     "op2_benchmark_decontamination": op2,
     "op3_minhash_near_dedup": op3,
     "op5_toxicity": op5,
     "op6_best_fit_packing": op6,
     "op7_license_scan": op7,
+    "op8_substring_dedup": op8,
     "op9_exact_top_products": op9,
     "op10_token_counts": op10,
 }
