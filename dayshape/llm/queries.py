@@ -5,6 +5,7 @@ from __future__ import annotations
 from dayshape.llm.decontaminate import op2
 from dayshape.llm.license_scan import op7
 from dayshape.llm.lines import op1
+from dayshape.llm.mixing_model import op4
 from dayshape.llm.near_copies import op3
 from dayshape.llm.packing import op6
 from dayshape.llm.substrings import op8
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_line_dedup": op1,
     "op2_benchmark_decontamination": op2,
     "op3_minhash_near_dedup": op3,
+    "op4_mixing_scores": op4,
     "op5_toxicity": op5,
     "op6_best_fit_packing": op6,
     "op7_license_scan": op7,
