@@ -141,23 +141,22 @@ def trained(
     prior = ((share or 0.0) * n_all - n_confirmed) / max(1, n_all - n_confirmed)
     prior = min(max(prior, 1e-3), 1 - 1e-3)
     confirmed = known.where("toxic = 1").select("doc_id")
+    ids = rows.select("doc_id").distinct()
 
-    def drawn(part: DataFrame, n: int, most: int, seed: int) -> DataFrame:
+    def drawn(part: DataFrame, n: int, most: int, toxic: bool) -> DataFrame:
         chance = min(1.0, most / max(1, n))
         picks = [
-            F.when(F.pmod(F.xxhash64("doc_id", F.lit(seed + k)), F.lit(1_000_003)) < chance * 1_000_003, k)
+            F.when(F.pmod(F.xxhash64("doc_id", F.lit(100 * toxic + k)), F.lit(1_000_003)) < chance * 1_000_003, k)
             for k in range(classifiers)
         ]
-        part = part.withColumn("k", F.array_compact(F.array(*picks))).where(F.size("k") > 0)
-        return part.select(F.explode("k").alias("k"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        picked = part.select("doc_id", F.explode(F.array_compact(F.array(*picks))).alias("k"))
+        return picked.withColumn("toxic", F.lit(toxic))
 
-    sample = drawn(rows.join(confirmed, "doc_id", "left_semi"), n_confirmed, most_confirmed, 0).withColumn(
-        "toxic", F.lit(True)
-    )
-    others = rows.join(confirmed, "doc_id", "left_anti")
-    sample = sample.unionAll(
-        drawn(others, n_all - n_confirmed, most_unlabelled, 100).withColumn("toxic", F.lit(False))
+    # Ids are drawn first, so that only the texts of a bounded number of rows are sent anywhere.
+    wanted = drawn(ids.join(confirmed, "doc_id", "left_semi"), n_confirmed, most_confirmed, True).unionAll(
+        drawn(ids.join(confirmed, "doc_id", "left_anti"), n_all - n_confirmed, most_unlabelled, False)
     )
+    sample = rows.join(F.broadcast(wanted), "doc_id").withColumn("text", F.coalesce("text", F.lit("")))
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["toxic", "doc_id", "text"])
