@@ -9,7 +9,7 @@ give candidates; links are confirmed on the full sets of shingles.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +17,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayshape.llm.common import batch_of, by_batch, bytes_of, linked, mixed, spaced_words, stored
+from dayshape.llm.common import batch_of, bytes_of, linked, mixed, spaced_words, stored
 
 BAND_VALUES = 6  # values of a signature in one band
 MISSED = 1e-6  # chance that a pair right at the threshold shares no band
 SLICE_WORDS = 400_000  # words that are hashed at a time
-KNOWN_WORDS = 1_000_000  # words whose hash a worker remembers
+KNOWN_WORDS = 500_000  # words whose hash a worker remembers
 
 
 class WordHashes(dict):
@@ -99,57 +99,56 @@ def sliced(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
         yield run
 
 
+def by_slice(make) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow: make(ids, sets) for runs of rows with about SLICE_WORDS words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = 0
+            for texts in sliced(bytes_of(batch.column(1))):
+                yield make(batch.column(0).slice(first, len(texts)), texts)
+                first += len(texts)
+
+    return run
+
+
 def signatures(docs: DataFrame, shingle: int, bands: int) -> DataFrame:
     """(doc_id, n_shingles, digest, keys): size and digest of each row's set, and its bands."""
 
-    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, digests, keys = [], [], []
-        for texts in sliced(bytes_of(batch.column(1))):
-            sets = shingle_sets(texts, shingle)
-            sizes += [len(x) for x in sets]
-            digests += [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets]
-            full = [x for x in sets if len(x)]
-            rows = iter(band_keys(full, bands) if full else ())
-            keys += [next(rows) if len(x) else None for x in sets]
+    def make(ids: pa.Array, texts: list[bytes | None]) -> pa.RecordBatch:
+        sets = shingle_sets(texts, shingle)
+        full = [x for x in sets if len(x)]
+        rows = iter(band_keys(full, bands) if full else ())
         return batch_of(
-            doc_id=(pa.int64(), batch.column(0)),
-            n_shingles=(pa.int64(), sizes),
-            digest=(pa.binary(), digests),
-            keys=(pa.list_(pa.int64()), keys),
+            doc_id=(pa.int64(), ids),
+            n_shingles=(pa.int64(), [len(x) for x in sets]),
+            digest=(pa.binary(), [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets]),
+            keys=(pa.list_(pa.int64()), [next(rows) if len(x) else None for x in sets]),
         )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(by_batch(make), "doc_id long, n_shingles long, digest binary, keys array<long>")
+    return rows.mapInArrow(by_slice(make), "doc_id long, n_shingles long, digest binary, keys array<long>")
 
 
 def sets_of(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, shingles): the full set of each row as sorted 64-bit hashes."""
+    """(doc_id, shingles): the full set of each row as 64-bit hashes."""
 
-    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [x.tobytes() for texts in sliced(bytes_of(batch.column(1))) for x in shingle_sets(texts, shingle)]
-        return batch_of(doc_id=(pa.int64(), batch.column(0)), shingles=(pa.binary(), found))
+    def make(ids: pa.Array, texts: list[bytes | None]) -> pa.RecordBatch:
+        found = [x.view(np.int64) for x in shingle_sets(texts, shingle)]
+        return batch_of(doc_id=(pa.int64(), ids), shingles=(pa.list_(pa.int64()), found))
 
-    return docs.select("doc_id", "text").mapInArrow(by_batch(make), "doc_id long, shingles binary")
+    return docs.select("doc_id", "text").mapInArrow(by_slice(make), "doc_id long, shingles array<long>")
 
 
 def links(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-
-    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        kept = []
-        both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-        for k, (one, two) in enumerate(both):
-            one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
-            same = len(np.intersect1d(one, two, assume_unique=True))
-            if 100 * same >= percent * (len(one) + len(two) - same):
-                kept.append(k)
-        rows = pa.array(kept, pa.int64())
-        return batch_of(a=(pa.int64(), batch.column(0).take(rows)), b=(pa.int64(), batch.column(1).take(rows)))
-
     wanted = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
     sets = stored(sets_of(docs.join(wanted, "doc_id", "left_semi"), shingle), "shingles")
-    one, two = sets.toDF("a", "one"), sets.toDF("b", "two")
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(by_batch(make), "a long, b long")
+    both = pairs.join(sets.toDF("a", "one"), "a").join(sets.toDF("b", "two"), "b")
+    counted = both.select(
+        "a", "b", F.size(F.array_intersect("one", "two")).alias("same"), (F.size("one") + F.size("two")).alias("all")
+    )
+    return counted.where(f"100 * same >= {percent} * (all - same)").select("a", "b")
 
 
 def near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
