@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -60,14 +61,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+@cache
+def own_folder(application: str) -> str:
+    """A folder for the results of one local session."""
+    return tempfile.mkdtemp(prefix="dayshape-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir. Only a local session without one gets its own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="dayshape-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = own_folder(spark.sparkContext.applicationId)
     return found.rstrip("/")
 
 
