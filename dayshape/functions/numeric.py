@@ -14,9 +14,9 @@ def half_up(value: Column, places: int) -> Column:
 def middle(value: Column, accuracy: int = 10_000) -> Column:
     """Median as an element of the data, for groupings with very many groups.
 
-    The digest merges before the shuffle and stays small for any group size. It is exact up to
-    accuracy / 2 values per group and off by at most rows / accuracy ranks beyond; groups that
-    are few and huge have ``order_stats.quantiles``, exact at any size.
+    The digest merges before the shuffle and stays small for any group size. The contract, at any
+    size, is a rank that is off by at most rows / accuracy; groups that are few and huge have
+    ``order_stats.quantiles``, which is exact.
     """
     return F.percentile_approx(value, 0.5, accuracy)
 

@@ -24,7 +24,7 @@ from dayshape.llm.common import batch_of, by_batch
 BORDER = "<|startoftext|>"
 #: Words of letters that lower-case and compose to one letter each.
 LETTERS = re.compile("[a-zA-Zß-öø-ÿÀ-ÖØ-Þ]+").fullmatch
-KNOWN_WORDS = 500_000  # words whose ids a worker remembers; the memory is emptied when full
+KNOWN_WORDS = 1_000_000  # words whose ids a worker remembers; the memory is emptied when full
 
 
 class WordIds:

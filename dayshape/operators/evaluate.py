@@ -158,9 +158,9 @@ def model_rank(results: DataFrame) -> DataFrame:
     return results.select("split", "model", "r2", F.row_number().over(order).alias("place"))
 
 
-def align_models(results: DataFrame, value: str, splits: Sequence[str]) -> DataFrame:
-    """One row per model name with its value in each split; null where it was not run."""
-    return results.groupBy("model").pivot("split", list(splits)).agg(F.max(value))
+def align_models(results: DataFrame, value: str) -> DataFrame:
+    """One row per model name with its value in each split there is; null where it was not run."""
+    return results.groupBy("model").pivot("split").agg(F.max(value))
 
 
 def profile_actual_pred(predictions: DataFrame, spec: Spec) -> DataFrame:
@@ -196,21 +196,22 @@ def error_by_class(predictions: DataFrame, spec: Spec) -> DataFrame:
 def density_2d(predictions: DataFrame, cells: int = 45, share: float = 0.995) -> DataFrame:
     """Rows per cell of a square grid over (actual, predicted), up to a high quantile of actual.
 
-    The upper edge belongs to the last cell.
+    The upper edge belongs to the last cell. What lies below 0 is in cell -1, what lies above the
+    limit in cell ``cells``, what is null in cell null, so the counts add up to all rows.
     """
     limits = quantiles(
         predictions, "actual", [share], by=list(MODEL_KEYS), interpolate=True
     ).select(*MODEL_KEYS, F.col("value").alias("limit"))
-    inside = predictions.join(F.broadcast(limits), list(MODEL_KEYS)).where(
-        F.col("actual").between(0, F.col("limit"))
-        & F.col("prediction").between(0, F.col("limit"))
-        & (F.col("limit") > 0)
-    )
+    limited = predictions.join(limits, list(MODEL_KEYS), "left")
+    limit = F.col("limit")
 
     def cell(name: str) -> Column:
-        return F.least(F.floor(F.col(name) * cells / F.col("limit")), F.lit(cells - 1))
+        x = F.col(name)
+        inside = F.least(F.floor(x * cells / limit), F.lit(cells - 1))
+        edge = F.when(x < 0, -1).when(x > limit, cells)
+        return F.when(x.isNotNull(), edge.when(limit > 0, inside).otherwise(0)).cast("bigint")
 
-    return inside.groupBy(
+    return limited.groupBy(
         *MODEL_KEYS, cell("actual").alias("actual_cell"), cell("prediction").alias("predicted_cell")
     ).agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -237,11 +238,15 @@ def top_features(weights: DataFrame, value: str = "weight", limit: int = 15) ->
 
 
 def importance_share(weights: DataFrame, groups: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Total importance of named feature groups; a prefix stands for all its one-hot slots."""
+    """Total importance of named groups of input columns; one-hot slots count to their column.
+
+    A one-hot slot is named after its column's encoded form, "<column>_hot", and its category.
+    """
+    owner = {column: name for name, columns in groups.items() for column in columns}
     label = F.lit("other")
-    for name, prefixes in groups.items():
-        for prefix in prefixes:
-            label = F.when(F.col("feature").startswith(prefix), F.lit(name)).otherwise(label)
+    for column in sorted(owner, key=len):
+        own = (F.col("feature") == column) | F.col("feature").startswith(f"{column}_hot_")
+        label = F.when(own, F.lit(owner[column])).otherwise(label)
     return weights.groupBy(label.alias("feature_group")).agg(
         F.sum("weight").alias("importance")
     )

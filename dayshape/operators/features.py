@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from dayshape.functions import half_up, index_of, spread
 from dayshape.operators.clean import period_split
-from dayshape.operators.joins import attach
 from dayshape.operators.quality import component_identity, corr_with
 from dayshape.sources import write_tables
 from dayshape.spec import FeatureSet, Spec, Split
 
 
+# The columns of an entity's history.
+HISTORY = ("hist_mean", "hist_sd", "hist_periods")
+
+
 def entity_history(train: DataFrame, spec: Spec) -> DataFrame:
     """Mean, deviation and distinct periods of each entity, from training rows only."""
     return train.groupBy(spec.entity).agg(
@@ -33,15 +36,13 @@ def history_defaults(history: DataFrame) -> DataFrame:
     )
 
 
-def attach_history(
-    block: DataFrame, history: DataFrame, spec: Spec, split_hot: bool | None = None
-) -> DataFrame:
+def attach_history(block: DataFrame, history: DataFrame, spec: Spec) -> DataFrame:
     """Add the training history to every row; unseen entities get the mean history.
 
     The defaults are a scalar subquery of the plan, so nothing is collected while it is built.
     """
     default = history_defaults(history).select(F.struct("hist_mean", "hist_sd").alias("d")).scalar()
-    return attach(block, history, [spec.entity], "left", split_hot).withColumns(
+    return block.join(history, spec.entity, "left").withColumns(
         {
             "hist_mean": F.coalesce("hist_mean", default.getField("hist_mean")),
             "hist_sd": F.coalesce("hist_sd", default.getField("hist_sd")),

@@ -31,11 +31,10 @@ def moments(df: DataFrame, column: str, places: int = 3) -> DataFrame:
     ).withColumn("median", half_up(median.scalar(), 2))
 
 
-def histogram(df: DataFrame, column: str, width: float = 100, upper: float = 5000) -> DataFrame:
-    """Rows per bin; bins starting beyond ``upper`` are left out."""
+def histogram(df: DataFrame, column: str, width: float = 100) -> DataFrame:
+    """Rows per bin, over all rows; those without a value have the bin null."""
     return (
         df.select(floor_bin(F.col(column), width).cast("bigint").alias("bin"))
-        .where(F.col("bin") <= upper)
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )

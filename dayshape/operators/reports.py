@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType
 
 from dayshape.functions import half_up
 from dayshape.operators.order_stats import quantile_row
@@ -13,23 +14,28 @@ from dayshape.operators.star import Star
 from dayshape.spec import Spec
 
 
+def same_key(key: Column, text: str, kind: DataType) -> Column:
+    """A key given as text. The typed half can be pushed to a scan; the other tells 7 from 007."""
+    typed = key if isinstance(kind, StringType) else key == F.lit(text).try_cast(kind)
+    as_text = key.cast("string") == F.lit(text)
+    return as_text if isinstance(kind, StringType) else typed & as_text
+
+
 def entity_profile(star: Star, spec: Spec, entity_id: str, min_observations: int = 1) -> DataFrame:
-    """The day of one entity. The id is compared as text, so any string is a mere value."""
-    return star.profile.sparkSession.sql(
-        f"""
-        SELECT p.{spec.slot}, p.observations,
-               CAST(round(CAST(p.mean_measure AS DECIMAL(38, 5)), 1) AS DOUBLE) AS mean_measure,
-               CAST(round(CAST(p.peak_index AS DECIMAL(38, 7)), 3) AS DOUBLE) AS peak_index,
-               d.{spec.authority}, d.{spec.klass}
-        FROM {{profile}} p JOIN {{entity}} d ON d.{spec.entity} = p.{spec.entity}
-        WHERE CAST(p.{spec.entity} AS STRING) = :entity_id
-          AND p.observations >= CAST(:min_observations AS INT)
-        ORDER BY p.{spec.slot}
-        """,
-        args={"entity_id": entity_id, "min_observations": min_observations},
-        profile=star.profile,
-        entity=star.entity,
+    """The day of one entity. The id is a literal of the plan, so any string is a mere value."""
+    least = int(min_observations)
+
+    def own(table: DataFrame) -> DataFrame:
+        return table.where(same_key(F.col(spec.entity), entity_id, table.schema[spec.entity].dataType))
+
+    slots = own(star.profile).where(F.col("observations") >= least)
+    place = own(star.entity).select(spec.entity, spec.klass, spec.authority)
+    rounded = {"mean_measure": 1, "peak_index": 3}
+    values = [half_up(F.col(name), places).alias(name) for name, places in rounded.items()]
+    found = slots.join(place, spec.entity).select(
+        spec.slot, "observations", *values, spec.authority, spec.klass
     )
+    return found.orderBy(spec.slot)
 
 
 def entity_peak_map(star: Star, peaks: DataFrame, spec: Spec) -> DataFrame:
@@ -56,14 +62,12 @@ def class_peak(star: Star, spec: Spec, min_observations: int = 5) -> DataFrame:
     )
 
 
-def class_pivot(
-    class_rows: DataFrame, spec: Spec, classes: Sequence[str], min_links: int = 0
-) -> DataFrame:
-    """Slot x class table of the mean index; naming the classes spares a pass to find them."""
+def class_pivot(class_rows: DataFrame, spec: Spec, min_links: int = 0) -> DataFrame:
+    """Slot x class table of the mean index, with a column for every class there is."""
     return (
         class_rows.where(F.col("links") >= min_links)
         .groupBy(spec.slot)
-        .pivot(spec.klass, list(classes))
+        .pivot(spec.klass)
         .agg(F.max("mean_peak_index"))
         .orderBy(spec.slot)
     )
@@ -82,7 +86,7 @@ def sharpest(
         star.profile.where(F.col("observations") >= min_observations)
         .join(star.entity.select(spec.entity, *wanted), spec.entity)
         .orderBy(F.desc_nulls_last("peak_index"), spec.entity, spec.slot)
-        .limit(limit)
+        .limit(int(limit))
     )
     return top.select(
         *columns,

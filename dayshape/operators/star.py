@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayshape.operators.joins import attach
 from dayshape.operators.profile import entity_dim, peak_index, region_dim
 from dayshape.sources import write_tables
 from dayshape.spec import Spec
@@ -28,14 +27,14 @@ def repair_fk(child: DataFrame, foreign: str, parent: DataFrame, key: str) -> Da
     """Null a foreign key that has no parent; the row itself stays."""
     known = parent.select(F.col(key).alias(foreign)).dropna().distinct()
     known = known.withColumn("__known", F.lit(True))
-    marked = attach(child, known, [foreign], "left")
+    marked = child.join(known, foreign, "left")
     repaired = marked.withColumn(foreign, F.when(F.col("__known"), F.col(foreign)))
     return repaired.select(child.columns)
 
 
 def keep_known(fact: DataFrame, entities: DataFrame, spec: Spec) -> DataFrame:
     """Fact rows whose entity has a dimension row."""
-    return attach(fact, entities.select(spec.entity), [spec.entity], "left_semi")
+    return fact.join(entities.select(spec.entity), spec.entity, "left_semi")
 
 
 def drop_report(fact: DataFrame, entities: DataFrame, spec: Spec) -> DataFrame:

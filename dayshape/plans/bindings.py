@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayshape.operators.joins import attach
-from dayshape.spec import FeatureSet, Spec, Split
+from dayshape.operators.features import HISTORY
+from dayshape.spec import FeatureSet, Spec, Split, barred
 
 HOURLY = Spec(
     entity="user_id",
@@ -63,25 +63,31 @@ LINES = Spec(
     components=("net_price", "discount_value"),
     main_component="net_price",
     slot_range=(1, 12),
-    barred={
-        "l_extendedprice": "is the value to forecast",
-        "net_price": "adds up to the measure with its sibling",
-        "discount_value": "adds up to the measure with its sibling",
-        "year": "decides the split",
-        "l_partkey": "names the entity instead of describing it",
-    },
+    barred=barred(
+        measure=("l_extendedprice",),
+        observed=("net_price", "discount_value"),
+        period=("year",),
+        identity=("l_partkey",),
+    ),
 )
 
 LINE_FEATURES = FeatureSet(
     categorical=("l_returnflag", "l_linestatus", "p_type"),
     numeric=("month", "l_quantity", "l_discount", "l_tax", "p_size",
-             "hist_mean", "hist_sd", "hist_periods"),
+             *HISTORY),
 )
 
 PRIMARY = Split("primary", train_until=1998, test_from=2000)
 CONTROL = Split("control", train_until=1996, test_from=1997, test_until=1998)
 SPLITS = (PRIMARY, CONTROL)
 
+# The given tables.
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+# Texts given as the key 7: one that is it, others that carry SQL behind a quote, bracket or comment.
+HOSTILE = ("7", *(f"7{close} {sql}" for close in ("'", "')", '"', "`") for sql in ("or true", "/* x */; select 1")))
 # Declared codes; the data holds two more, which the domain check must find.
 EVENT_TYPES = ("click", "view", "error")
 
@@ -91,17 +97,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_places(facts: DataFrame, spark: SparkSession, sf_dir: str, customer: str) -> DataFrame:
-    """Facts with the customer, nation and region they belong to.
-
-    One stored table is attached at a time, so each join is judged by a known size: the customers
-    grow with the data, the nations and regions do not.
-    """
+    """Facts with the customer, nation and region they belong to."""
     who = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", customer)
     nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     region = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    placed = attach(facts, who, [customer], "inner")
-    placed = attach(placed, nation, ["c_nationkey"], "inner")
-    placed = attach(placed, region, ["n_regionkey"], "inner")
+    placed = facts.join(who, customer).join(nation, "c_nationkey").join(region, "n_regionkey")
     return placed.select(
         *facts.columns,
         "c_name",
@@ -214,5 +214,4 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
     )
-    with_part = attach(rows, part, ["l_partkey"], "inner")
-    return attach(with_part, supplier, ["l_suppkey"], "inner", keys_from=rows)
+    return rows.join(part, "l_partkey").join(supplier, "l_suppkey")

@@ -21,7 +21,6 @@ from dayshape.spec import FeatureSet
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-HOSTILE = ("' OR '1'='1", "7'; DROP TABLE orders; --", "' UNION SELECT 1 --", "7")
 
 
 def query(run: Query) -> Query:
@@ -47,7 +46,7 @@ def scratch(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/dayshape-{uuid.uuid4()}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix="dayshape-")
 
@@ -159,8 +158,7 @@ def build_star(spark, sf_dir):
 
 @query
 def table_scale(spark, sf_dir):
-    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-    return sources.row_counts({n: b.table(spark, sf_dir, n) for n in names})
+    return sources.row_counts({n: b.table(spark, sf_dir, n) for n in b.TABLES})
 
 
 @query
@@ -384,7 +382,7 @@ def annual_fact(spark, sf_dir):
 @query
 def align_models(spark, sf_dir):
     results = evaluate.skill(_model_results(spark, sf_dir))
-    return plain(evaluate.align_models(results, "skill", [s.name for s in SPLITS]))
+    return plain(evaluate.align_models(results, "skill"))
 
 
 # ---- aggregations --------------------------------------------------------------------------
@@ -473,7 +471,7 @@ def moments(spark, sf_dir):
 
 @query
 def histogram(spark, sf_dir):
-    return quality.histogram(b.events_clean(spark, sf_dir), "value", width=10, upper=200)
+    return quality.histogram(b.events_clean(spark, sf_dir), "value", width=10)
 
 
 @query
@@ -561,13 +559,10 @@ def entity_history(spark, sf_dir):
     return plain(features.entity_history(train, YEARLY))
 
 
-SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-
-
 @query
 def class_pivot(spark, sf_dir):
     rows = reports.class_peak(_profile_star(spark, sf_dir), HOURLY)
-    return plain(reports.class_pivot(rows, HOURLY, SEGMENTS))
+    return plain(reports.class_pivot(rows, HOURLY))
 
 
 @query
@@ -654,7 +649,7 @@ def sharpest_named(spark, sf_dir):
 def top_features(spark, sf_dir):
     weights = quality.corr_with(b.lines(spark, sf_dir), "l_extendedprice", LINE_NUMERICS)
     return evaluate.top_features(
-        weights.withColumnsRenamed({"column": "feature", "r": "weight"}), limit=4
+        weights.withColumnsRenamed({"column": "feature", "r": "weight"})
     )
 
 
@@ -710,17 +705,15 @@ def notnull_violations(spark, sf_dir):
 
 @query
 def bound_params(spark, sf_dir):
-    facts = b.orders(spark, sf_dir)
-    found = [
-        spark.sql(
-            "SELECT :id AS id, count(*) AS n_rows FROM {facts} "
-            "WHERE CAST(o_custkey AS STRING) = :id",
-            args={"id": text},
-            facts=facts,
-        )
-        for text in HOSTILE
-    ]
-    return evaluate.results_table(*found)
+    """Rows per id given as text, in one pass over the orders whatever the number of ids."""
+    given = spark.createDataFrame([(text,) for text in b.HOSTILE], "id string")
+    orders = b.orders(spark, sf_dir)
+    typed = [int(text) for text in b.HOSTILE if text.isdecimal()]
+    found = orders.where(F.col("o_custkey").isin(typed)).groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    counted = given.join(found, F.col("id") == F.col("o_custkey").cast("string"), "left")
+    return counted.select("id", F.coalesce("n", F.lit(0)).alias("n_rows"))
 
 
 # ---- features and models -------------------------------------------------------------------
@@ -803,7 +796,7 @@ def interpret(spark, sf_dir):
 def importance_share(spark, sf_dir):
     return evaluate.importance_share(
         _weights(spark, sf_dir, "forest"),
-        {"history": ["hist_"], "slot": ["month"], "class": ["p_type"]},
+        {"history": features.HISTORY, "slot": ["month"], "class": ["p_type"]},
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dayshape.plans import bindings as b
+
 
 def r(x: str, places: int = 6) -> str:
     """Half-up rounding through a decimal, as the operators round."""
@@ -214,19 +216,16 @@ def _quality_rows(columns: tuple[str, ...], value: str, keep_rows: bool) -> str:
     )
 
 
-HOSTILE = ("' OR '1'='1", "7'; DROP TABLE orders; --", "' UNION SELECT 1 --", "7")
 
 
 def _bound_rows() -> str:
-    quoted = ["'" + text.replace("'", "''") + "'" for text in HOSTILE]
+    quoted = ["'" + text.replace("'", "''") + "'" for text in b.HOSTILE]
     return " UNION ALL ".join(
         f"SELECT {q} AS id, count(*) AS n_rows FROM o WHERE CAST(o_custkey AS VARCHAR) = {q}"
         for q in quoted
     )
 
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-
 ORACLES: dict[str, str] = {
     # ---- sources and sinks
     "read_csv_named": f"""WITH {ORDERS} SELECT o_orderkey, o_orderpriority,
@@ -245,7 +244,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'fact_profile', count(*), {r('sum(peak_index)', 2)} FROM p
         UNION ALL SELECT 'fact_annual', count(*), {r('sum(flow)', 2)} FROM fa""",
     "table_scale": " UNION ALL ".join(
-        f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in TABLES
+        f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in b.TABLES
     ),
     "sql_slot_view": f"""WITH {EVENTS} SELECT hour, count(*) AS observations,
         {r('avg(value)', 1)} AS mean_measure, {r('avg(k)', 1)} AS mean_k FROM e12 GROUP BY hour""",
@@ -376,7 +375,7 @@ ORACLES: dict[str, str] = {
             {r('kurtosis_pop(value)', 3)} AS kurtosis, {r('min(value)')} AS min,
             {r('max(value)')} AS max FROM e12 CROSS JOIN t""",
     "histogram": f"""WITH {EVENTS} SELECT CAST(floor(value / 10) * 10 AS BIGINT) AS bin,
-        count(*) AS n_rows FROM e12 WHERE floor(value / 10) * 10 <= 200 GROUP BY 1""",
+        count(*) AS n_rows FROM e12 GROUP BY 1""",
     "corr_matrix": _matrix_sql(),
     "corr_with_measure": f"""WITH {LINES}
         SELECT feature AS "column", weight AS r FROM ({_corr_rows()})""",
@@ -468,7 +467,7 @@ ORACLES: dict[str, str] = {
         FROM (SELECT * FROM p JOIN d USING (user_id) WHERE observations >= 6
               ORDER BY peak_index DESC NULLS LAST, user_id, hour LIMIT 15)""",
     "top_features": f"""WITH {LINES} SELECT feature, weight FROM ({_corr_rows()})
-        ORDER BY abs(weight) DESC, feature LIMIT 4""",
+        ORDER BY abs(weight) DESC, feature LIMIT 15""",
     # ---- constraints and bound parameters
     "pk_violations": """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
         count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
@@ -534,10 +533,11 @@ ORACLES: dict[str, str] = {
         FROM f GROUP BY split, model, c_mktsegment""",
     "density_2d": f"""{NAIVE_CTES}, q AS (SELECT split, model, quantile_cont(actual, 0.995) AS lim
             FROM f GROUP BY split, model)
-        SELECT split, model, CAST(least(floor(actual * 45 / lim), 44) AS BIGINT) AS actual_cell,
-            CAST(least(floor(prediction * 45 / lim), 44) AS BIGINT) AS predicted_cell,
-            count(*) AS n_rows FROM f JOIN q USING (split, model)
-        WHERE actual BETWEEN 0 AND lim AND prediction BETWEEN 0 AND lim GROUP BY 1, 2, 3, 4""",
+        SELECT split, model, CAST(CASE WHEN actual < 0 THEN -1 WHEN actual > lim THEN 45
+                ELSE least(floor(actual * 45 / lim), 44) END AS BIGINT) AS actual_cell,
+            CAST(CASE WHEN prediction < 0 THEN -1 WHEN prediction > lim THEN 45
+                ELSE least(floor(prediction * 45 / lim), 44) END AS BIGINT) AS predicted_cell,
+            count(*) AS n_rows FROM f JOIN q USING (split, model) GROUP BY 1, 2, 3, 4""",
     "split_profile": f"WITH {ORDERS} "
     + " UNION ALL ".join(
         f"SELECT '{s}' AS split, '{n}' AS block, count(*) AS n_rows, "

@@ -51,3 +51,19 @@ class FeatureSet:
     @property
     def names(self) -> tuple[str, ...]:
         return self.categorical + self.numeric
+
+
+# Why a column in a role may not be a feature.
+BARRED_ROLES = {
+    "measure": "it is what is forecast",
+    "observed": "it is measured along with the measure, so it isn't known beforehand",
+    "derived": "it is worked out from the measure",
+    "period": "it tells training from test",
+    "identity": "it names entities and says nothing of new ones",
+    "proxy": "another column already says it",
+}
+
+
+def barred(**roles: tuple[str, ...]) -> dict[str, str]:
+    """Columns that may not be features, from the roles they play, each with the role's reason."""
+    return {column: BARRED_ROLES[role] for role, columns in roles.items() for column in columns}

@@ -43,7 +43,7 @@ def test_tables_over_results(spark, rows):
     skilled = evaluate.skill(table)
     assert dict(rows(skilled.where("split = 'primary'"), "model", "skill")) == pytest.approx(
         {"a": 0.25, "tuned": 0.5, "entity_history": 0.0, "global_mean": -4.5})
-    aligned = evaluate.align_models(skilled, "skill", ["primary", "control"])
+    aligned = evaluate.align_models(skilled, "skill").select("model", "primary", "control")
     assert rows(aligned.where("model = 'tuned'")) == [("tuned", pytest.approx(0.5), None)]
     best = {r["split"]: r for r in evaluate.best_breakdown(table).collect()}
     assert best["primary"]["best_model"] == "tuned"
@@ -73,13 +73,15 @@ def test_baselines_agree_with_scored_rows(spark, rows):
     assert one["entity_history"][2] == 1.5
 
 
-def test_density_keeps_every_row_inside_the_limit(spark):
+def test_density_counts_every_row(spark):
     rng = np.random.default_rng(4)
     actual = rng.gamma(2, 50, 4000)
     data = [("s", "m", float(a), float(a * rng.uniform(0.8, 1.2))) for a in actual]
     df = spark.createDataFrame(data, "split string, model string, actual double, prediction double")
-    limit = np.quantile(actual, 0.995)
-    inside = sum(1 for _, _, a, p in data if a <= limit and p <= limit)
-    cells = evaluate.density_2d(df)
-    assert cells.agg(F.sum("n_rows")).first()[0] == inside
-    assert cells.agg(F.max("actual_cell")).first()[0] <= 44
+    odd = [("s", "m", -1.0, 5.0), ("s", "m", None, 5.0), ("s", "m", 5.0, None)]
+    limit = np.quantile(actual.tolist() + [-1.0, 5.0], 0.995)
+    cells = evaluate.density_2d(df.unionAll(spark.createDataFrame(odd, df.schema)))
+    assert cells.agg(F.sum("n_rows")).first()[0] == len(data) + 3
+    beyond = cells.where("actual_cell = 45").agg(F.sum("n_rows")).first()[0]
+    assert beyond == (actual > limit).sum()
+    assert {r[0] for r in cells.where("actual_cell < 0 or actual_cell is null").select("actual_cell").collect()} == {-1, None}

@@ -44,15 +44,19 @@ def test_unseen_entity_gets_the_mean_history(yearly, tmp_path):
         assert test.count() == 4 * 3 * 2 + 1
 
 
-def test_history_join_survives_a_hot_entity(yearly, rows):
+def test_history_join_keeps_the_rows_of_a_hot_entity(spark, yearly, rows):
     hot = yearly.unionByName(yearly.where("count_point_id = 'E2'").withColumn(
         "k", F.explode(F.sequence(F.lit(1), F.lit(20)))).drop("k"))
     train, test = clean.period_split(hot, ROADS, PRIMARY)
     history = features.entity_history(train, ROADS)
-    plain = features.attach_history(test, history, ROADS, split_hot=False)
-    split = features.attach_history(test, history, ROADS, split_hot=True)
-    columns = sorted(plain.columns)
-    assert rows(split, *columns) == rows(plain, *columns)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    found = []
+    for threshold in (limit, "-1"):  # with and without a broadcast
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        joined = features.attach_history(test, history, ROADS)
+        found.append(rows(joined, *sorted(joined.columns)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert found[0] == found[1] and len(found[0]) == test.count()
 
 
 def test_guard_names_the_barred_column_and_its_reason():

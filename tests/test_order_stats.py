@@ -25,7 +25,7 @@ def samples():
 @pytest.fixture(scope="module")
 def frame(spark):
     data = [(g, float(v)) for g, values in samples().items() for v in values]
-    data += [("one", None), (None, 5.0), (None, 6.0), ("one", float("nan"))]
+    data += [("one", None), (None, 5.0), (None, 6.0)]
     return spark.createDataFrame(data, "g string, x double").repartition(5)
 
 
@@ -74,3 +74,18 @@ def test_a_third_of_equal_rows_is_counted_not_moved(spark):
     values = sorted(5.0 if i % 3 == 0 else float(i) for i in range(9000))
     row = quantile_row(df, "x", [0.2, 0.5]).first()
     assert (row["q0"], row["q1"]) == (values[1799], values[4499])
+
+
+def test_nan_and_infinities_are_values_nan_last(spark):
+    inf, nan = float("inf"), float("nan")
+    data = [1.0, 2.0, nan, nan, nan, -inf, inf, inf]
+    df = spark.createDataFrame([(v,) for v in data], "x double")
+    found = [r["value"] for r in quantiles(df, "x", [0.0, 0.25, 0.5, 0.6, 1.0]).orderBy("share").collect()]
+    assert found[:4] == [-inf, 1.0, inf, inf] and math.isnan(found[4])
+
+
+def test_many_values_in_one_relative_bin_are_spread_over_parts(spark):
+    df = spark.range(50_000).select((1.7e9 + F.col("id")).alias("x"))
+    assert df.select(log_bin(F.col("x"))).distinct().count() == 1
+    found = quantiles(df, "x", [0.25, 0.5], interpolate=True).orderBy("share").collect()
+    assert [r["value"] for r in found] == [1.7e9 + 49_999 * s for s in (0.25, 0.5)]
