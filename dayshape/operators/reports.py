@@ -62,12 +62,15 @@ def class_peak(star: Star, spec: Spec, min_observations: int = 5) -> DataFrame:
     )
 
 
-def class_pivot(class_rows: DataFrame, spec: Spec, min_links: int = 0) -> DataFrame:
-    """Slot x class table of the mean index, with a column for every class there is."""
+def class_pivot(
+    class_rows: DataFrame, spec: Spec, dimension: DataFrame, min_links: int = 0
+) -> DataFrame:
+    """Slot x class table of the mean index, with a column for every class of the dimension."""
+    classes = dimension.select(spec.klass).dropna().distinct().orderBy(spec.klass)
     return (
         class_rows.where(F.col("links") >= min_links)
         .groupBy(spec.slot)
-        .pivot(spec.klass)
+        .pivot(spec.klass, [row[0] for row in classes.collect()])
         .agg(F.max("mean_peak_index"))
         .orderBy(spec.slot)
     )

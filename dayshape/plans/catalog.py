@@ -562,7 +562,7 @@ def entity_history(spark, sf_dir):
 @query
 def class_pivot(spark, sf_dir):
     rows = reports.class_peak(_profile_star(spark, sf_dir), HOURLY)
-    return plain(reports.class_pivot(rows, HOURLY))
+    return plain(reports.class_pivot(rows, HOURLY, b.table(spark, sf_dir, "customer")))
 
 
 @query

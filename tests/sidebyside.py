@@ -15,8 +15,9 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from dayshape.plans.bindings import TABLES  # noqa: E402
+
 DATA = Path("/root/testdata")
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
 def connect(sf: str):
@@ -55,7 +56,8 @@ def difference(df, con, sql: str) -> str | None:
 
 
 def main() -> None:
-    from __spark_entry__ import oracle_sql, queries
+    from dayshape.plans.bindings import TABLES  # noqa: E402
+from __spark_entry__ import oracle_sql, queries
     from pyspark.sql import SparkSession
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "sf0.01"

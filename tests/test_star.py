@@ -48,9 +48,9 @@ def test_class_peak_and_pivot(small, rows):
     table = reports.class_peak(small, ROADS, min_observations=5)
     assert rows(table) == [("MB", 9, 1, 1.3, 20.0), ("PA", 11, 1, 1.3, 711.0),
                            ("PA", 15, 1, 0.7, 383.0)]
-    pivot = reports.class_pivot(table, ROADS)
+    pivot = reports.class_pivot(table, ROADS, small.entity)
     assert rows(pivot, "hour", "MB", "PA") == [(11, None, 1.3), (15, None, 0.7), (9, 1.3, None)]
-    assert reports.class_pivot(table, ROADS, min_links=2).count() == 0
+    assert reports.class_pivot(table, ROADS, small.entity, min_links=2).count() == 0
 
 
 def test_sharpest_orders_ties_by_entity(small):
