@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayshape.operators.profile import entity_dim, peak_index, region_dim
+from dayshape.operators.quality import check_violations, fk_violations, key_violations
 from dayshape.sources import write_tables
 from dayshape.spec import Spec
 
@@ -129,3 +131,63 @@ def build_star(
     return Star(
         regions, entities, settle("fact_profile", profile), settle("fact_annual", yearly)
     )
+
+
+def star_violations(star: Star, spec: Spec) -> DataFrame:
+    """Rows (table, rule, violations): keys, references and value rules of the four tables.
+
+    Keys count the key values that are repeated or incomplete, references and value rules the rows.
+    """
+    keys = {
+        "dim_region": (star.region, [spec.region]),
+        "dim_entity": (star.entity, [spec.entity]),
+        "fact_profile": (star.profile, [spec.entity, spec.slot]),
+        "fact_annual": (star.annual, [spec.entity, spec.period]),
+    }
+    references = {
+        "dim_entity": (star.entity, spec.region, star.region),
+        "fact_profile": (star.profile, spec.entity, star.entity),
+        "fact_annual": (star.annual, spec.entity, star.entity),
+    }
+    low, high = spec.slot_range
+    values = {
+        "dim_entity": (star.entity, {"flag in (0, 1)": F.col("is_major").isin(0, 1)}),
+        "fact_profile": (
+            star.profile,
+            {
+                "slot in window": F.col(spec.slot).between(low, high),
+                "observations > 0": F.col("observations") > 0,
+                "mean >= 0": F.col("mean_measure") >= 0,
+            },
+        ),
+    }
+
+    def told(table: str, found: DataFrame) -> DataFrame:
+        return found.select(F.lit(table).alias("table"), "rule", F.col("violations").cast("bigint"))
+
+    parts = []
+    for table, (rows, columns) in keys.items():
+        broken = key_violations(rows, columns).agg(F.count(F.lit(1)).alias("violations"))
+        parts.append(told(table, broken.withColumn("rule", F.lit("key"))))
+    for table, (rows, foreign, parent) in references.items():
+        orphans = fk_violations(rows, foreign, parent, foreign)
+        total = orphans.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("violations"))
+        parts.append(told(table, total.withColumn("rule", F.lit(f"known {foreign}"))))
+    for table, (rows, rules) in values.items():
+        parts.append(told(table, check_violations(rows, rules)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def load_report(fact: DataFrame, annual: DataFrame, star: Star, spec: Spec) -> DataFrame:
+    """Rows (step, n_rows): what building the star left out or changed.
+
+    Facts are counted per entity before they meet the dimension.
+    """
+    dropped = drop_report(fact, star.entity, spec).select("dropped_rows")
+    yearly = drop_report(annual, star.entity, spec).select("dropped_rows")
+    repaired = star.entity.agg(F.count_if(F.col(spec.region).isNull()).alias("n_rows"))
+    steps = {"profile rows dropped": dropped, "annual rows dropped": yearly, "region keys null": repaired}
+    return reduce(
+        DataFrame.unionByName,
+        [df.toDF("n_rows").select(F.lit(step).alias("step"), "n_rows") for step, df in steps.items()],
+    )

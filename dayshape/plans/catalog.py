@@ -156,6 +156,28 @@ def build_star(spark, sf_dir):
     return plain(evaluate.results_table(*parts), 2)
 
 
+def _defective_star(spark, sf_dir) -> star.Star:
+    """The star with a seventh of the entities missing and one slot's profile rows twice."""
+    whole = _profile_star(spark, sf_dir)
+    return star.Star(
+        region=whole.region,
+        entity=whole.entity.where("user_id % 7 <> 0"),
+        profile=whole.profile.unionAll(whole.profile.where("hour = 9")),
+        annual=whole.annual.withColumnRenamed("o_custkey", "user_id"),
+    )
+
+
+@query
+def star_check(spark, sf_dir):
+    return star.star_violations(_defective_star(spark, sf_dir), HOURLY)
+
+
+@query
+def load_report(spark, sf_dir):
+    found = _defective_star(spark, sf_dir)
+    return plain(star.load_report(b.hourly_clean(spark, sf_dir), found.annual, found, HOURLY))
+
+
 @query
 def table_scale(spark, sf_dir):
     return sources.row_counts({n: b.table(spark, sf_dir, n) for n in b.TABLES})

@@ -243,6 +243,34 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'dim_entity', count(*), {r('sum(lat)', 2)} FROM d
         UNION ALL SELECT 'fact_profile', count(*), {r('sum(peak_index)', 2)} FROM p
         UNION ALL SELECT 'fact_annual', count(*), {r('sum(flow)', 2)} FROM fa""",
+    "star_check": f"""WITH {STAR}, {ORDERS}, {ANNUAL},
+        d2 AS (SELECT * FROM d WHERE user_id % 7 <> 0),
+        p2 AS (SELECT user_id, hour, observations, mean_measure FROM p
+               UNION ALL SELECT user_id, hour, observations, mean_measure FROM p WHERE hour = 9)
+        SELECT 'dim_region' AS "table", 'key' AS rule, count(*) AS violations
+            FROM (SELECT r_regionkey FROM reg GROUP BY 1 HAVING count(*) > 1)
+        UNION ALL SELECT 'dim_entity', 'key', count(*)
+            FROM (SELECT user_id FROM d2 GROUP BY 1 HAVING count(*) > 1)
+        UNION ALL SELECT 'fact_profile', 'key', count(*)
+            FROM (SELECT user_id, hour FROM p2 GROUP BY 1, 2 HAVING count(*) > 1)
+        UNION ALL SELECT 'fact_annual', 'key', count(*)
+            FROM (SELECT o_custkey, year FROM af GROUP BY 1, 2 HAVING count(*) > 1)
+        UNION ALL SELECT 'dim_entity', 'known r_regionkey', count(*) FROM d2
+            WHERE r_regionkey NOT IN (SELECT r_regionkey FROM reg)
+        UNION ALL SELECT 'fact_profile', 'known user_id', count(*) FROM p2
+            WHERE user_id NOT IN (SELECT user_id FROM d2)
+        UNION ALL SELECT 'fact_annual', 'known user_id', count(*) FROM af
+            WHERE o_custkey NOT IN (SELECT user_id FROM d2)
+        UNION ALL SELECT 'dim_entity', 'flag in (0, 1)', count(*) FILTER (WHERE is_major NOT IN (0, 1)) FROM d2
+        UNION ALL SELECT 'fact_profile', 'slot in window', count(*) FILTER (WHERE hour NOT BETWEEN 7 AND 18) FROM p2
+        UNION ALL SELECT 'fact_profile', 'observations > 0', count(*) FILTER (WHERE observations <= 0) FROM p2
+        UNION ALL SELECT 'fact_profile', 'mean >= 0', count(*) FILTER (WHERE mean_measure < 0) FROM p2""",
+    "load_report": f"""WITH {STAR}, {ORDERS}, {ANNUAL}, d2 AS (SELECT * FROM d WHERE user_id % 7 <> 0)
+        SELECT 'profile rows dropped' AS step, count(*) AS n_rows FROM h12
+            WHERE user_id NOT IN (SELECT user_id FROM d2)
+        UNION ALL SELECT 'annual rows dropped', count(*) FROM af
+            WHERE o_custkey NOT IN (SELECT user_id FROM d2)
+        UNION ALL SELECT 'region keys null', count(*) FILTER (WHERE r_regionkey IS NULL) FROM d2""",
     "table_scale": " UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in b.TABLES
     ),

@@ -10,7 +10,7 @@ import sys
 from pyspark.sql import Observation, SparkSession
 
 from dayshape.operators.clean import clean_fact
-from dayshape.operators.star import Star, build_star
+from dayshape.operators.star import Star, build_star, load_report, star_violations
 from dayshape.presets import ANNUAL_COLUMNS, COUNT_COLUMNS, ROADS
 from dayshape.sources import read_named, scan_periods, write_by_period, write_tables
 
@@ -45,8 +45,11 @@ def build_warehouse(
 def main() -> None:
     counts_path, annual_path, out_dir = sys.argv[1:4]
     spark = SparkSession.builder.appName("dayshape-warehouse").getOrCreate()
-    _, losses = build_warehouse(spark, counts_path, annual_path, out_dir)
+    star, losses = build_warehouse(spark, counts_path, annual_path, out_dir)
     print(losses)
+    fact = scan_periods(spark, f"{out_dir}/counts.parquet", ROADS.period)
+    load_report(fact, spark.read.parquet(f"{out_dir}/annual"), star, ROADS).show(truncate=False)
+    star_violations(star, ROADS).show(truncate=False)
     spark.stop()
 
 
