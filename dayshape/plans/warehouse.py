@@ -48,7 +48,7 @@ def main() -> None:
     star, losses = build_warehouse(spark, counts_path, annual_path, out_dir)
     print(losses)
     fact = scan_periods(spark, f"{out_dir}/counts.parquet", ROADS.period)
-    load_report(fact, spark.read.parquet(f"{out_dir}/annual"), star, ROADS).show(truncate=False)
+    load_report(fact, spark.read.parquet(f"{out_dir}/annual.parquet"), star, ROADS).show(truncate=False)
     star_violations(star, ROADS).show(truncate=False)
     spark.stop()
 
