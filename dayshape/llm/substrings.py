@@ -5,6 +5,7 @@ the window. So only runs of windows around an anchor that several documents shar
 all runs of one anchor go to one shard. A shard indexes its distinct runs (Burrows-Wheeler
 transform in a wavelet matrix of packed bits) and streams them through backward search: after
 `window` steps the interval of a window is known, and with it the first document that has it.
+Rows whose words are all those of another are set aside before, however many there are.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from dayshape.llm.common import batch_of, by_batch, bytes_of, mixed, spaced_word
 from dayshape.llm.near_copies import HASHES
 from dayshape.llm.suffixes import suffix_array
 
-ANCHOR_WORDS = 5
+ANCHOR_WORDS = 4
+ANCHOR_BITS = 48  # of an anchor's hash; another anchor of the same hash only costs time
 SHARD_WORDS = 300_000  # words of distinct runs in one index; the runs of an anchor stay together
 
 
@@ -100,7 +102,7 @@ def anchors(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
         lower = other < least
         least[lower] = other[lower]
         place[lower] = np.flatnonzero(lower) + k
-    return place, rolled.view(np.int64)
+    return place, (rolled >> np.uint64(64 - ANCHOR_BITS)).view(np.int64)
 
 
 def overview(docs: DataFrame, window: int) -> DataFrame:
@@ -133,10 +135,10 @@ def overview(docs: DataFrame, window: int) -> DataFrame:
 
 
 def runs_of(docs: DataFrame, window: int) -> DataFrame:
-    """(doc_id, start, key, anchor, run) of docs (doc_id, text, shared): runs at shared anchors."""
+    """(doc_id, start, anchor, run) of docs (doc_id, text, shared): runs at shared anchors."""
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, starts, keys, names, texts = [], [], [], [], []
+        ids, starts, names, texts = [], [], [], []
         shared = batch.column(2).to_pylist()
         for doc, text, own in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1)), shared, strict=True):
             words = spaced_words(text)
@@ -150,51 +152,56 @@ def runs_of(docs: DataFrame, window: int) -> DataFrame:
             for a, b, anchor in zip(
                 first[wanted].tolist(), last[wanted].tolist(), name[wanted].tolist(), strict=True
             ):
-                run = b" ".join(words[a : b + window])
                 ids.append(doc)
                 starts.append(a)
-                keys.append(xxhash.xxh3_128_digest(run))
                 names.append(anchor)
-                texts.append(run)
+                texts.append(b" ".join(words[a : b + window]))
         return batch_of(
-            doc_id=(pa.int64(), ids),
-            start=(pa.int32(), starts),
-            key=(pa.binary(), keys),
-            anchor=(pa.int64(), names),
-            run=(pa.binary(), texts),
+            doc_id=(pa.int64(), ids), start=(pa.int32(), starts), anchor=(pa.int64(), names), run=(pa.binary(), texts)
         )
 
-    return docs.mapInArrow(by_batch(make), "doc_id long, start int, key binary, anchor long, run binary")
+    return docs.mapInArrow(by_batch(make), "doc_id long, start int, anchor long, run binary")
 
 
-def indexed(runs: DataFrame, window: int) -> DataFrame:
-    """(key, firsts): for each window of each distinct run the first document that has it."""
+def earlier_windows(runs: DataFrame, window: int) -> DataFrame:
+    """(doc_id, at): the places in each document of windows that an earlier document has.
 
-    def shard(rows: list[tuple]) -> pa.RecordBatch:
-        keys, runs, docs = zip(*rows, strict=True)
-        found = first_documents([x.split() for x in runs], np.array(docs, np.int64), window)
-        return batch_of(key=(pa.binary(), keys), firsts=(pa.list_(pa.int64()), found))
+    Equal runs follow each other, so a shard holds each of them once, with its first document.
+    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size, last = [], 0, None
+    def shard(runs: list[bytes], rows: list[list[tuple[int, int]]]) -> pa.RecordBatch:
+        firsts = np.array([min(doc for doc, _ in own) for own in rows], np.int64)
+        ids, places = [], []
+        for found, own in zip(first_documents([x.split() for x in runs], firsts, window), rows, strict=True):
+            for doc, start in own:
+                at = np.flatnonzero(found < doc)
+                if len(at):
+                    ids.append(doc)
+                    places.append(at + start)
+        return batch_of(doc_id=(pa.int64(), ids), at=(pa.list_(pa.int32()), places))
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs, rows, size, last = [], [], 0, (None, None)
         for batch in batches:
-            for anchor, key, text, doc in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if anchor != last and size >= SHARD_WORDS:
-                    yield shard(rows)
-                    rows, size = [], 0
-                rows.append((key, text, doc))
-                size += text.count(b" ") + 1
-                last = anchor
-        if rows:
-            yield shard(rows)
-
-    distinct = runs.groupBy("anchor", "key").agg(F.first("run").alias("run"), F.min("doc_id").alias("doc_id"))
-    dealt = distinct.repartition("anchor").sortWithinPartitions("anchor", "key")
-    return dealt.mapInArrow(run, "key binary, firsts array<long>")
+            for doc, start, anchor, run in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (anchor, run) != last:
+                    if anchor != last[0] and size >= SHARD_WORDS:
+                        yield shard(runs, rows)
+                        runs, rows, size = [], [], 0
+                    runs.append(run)
+                    rows.append([])
+                    size += run.count(b" ") + 1
+                    last = anchor, run
+                rows[-1].append((doc, start))
+        if runs:
+            yield shard(runs, rows)
+
+    dealt = runs.repartition("anchor").sortWithinPartitions("anchor", "run", "doc_id", "start")
+    return dealt.mapInArrow(stream, "doc_id long, at array<int>")
 
 
 def repeated_spans(docs: DataFrame, window: int = 13) -> tuple[DataFrame, DataFrame]:
-    """An overview of all rows, and (doc_id, digest, places): windows that an earlier row has.
+    """An overview of all rows, and (doc_id, text, places): windows that an earlier row has.
 
     The overview is (doc_id, n_words, digest, sha, copy): copy marks a row whose words are all
     those, in order, of a row with a smaller doc_id; it isn't searched any further. places are the
@@ -207,27 +214,14 @@ def repeated_spans(docs: DataFrame, window: int = 13) -> tuple[DataFrame, DataFr
         "copy", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
     )
     own = marked.where("doc_id is not null and not copy").select("doc_id", F.explode("anchors").alias("anchor"))
-    shared = (
-        own.groupBy("anchor")
-        .agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-        .where("a < b")
-        .select("anchor")
-    )
+    shared = own.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     wanted = own.join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_list("anchor").alias("shared"))
-    runs = stored(runs_of(docs.join(wanted, "doc_id").select("doc_id", "text", "shared"), window), "runs")
-    found = stored(indexed(runs, window), "first-documents")
-    places = (
-        runs.select("doc_id", "start", "key")
-        .join(found, "key")
-        .select(
-            "doc_id",
-            F.expr("transform(filter(transform(firsts, (f, i) -> if(f < doc_id, i, null)), i -> i is not null), i -> start + i)").alias("at"),
-        )
-        .where(F.size("at") > 0)
-        .groupBy("doc_id")
-        .agg(F.flatten(F.collect_list("at")).alias("places"))
+    texts = stored(docs.join(wanted, "doc_id").select("doc_id", "text", "shared"), "shared-texts")
+    places = earlier_windows(runs_of(texts, window), window).groupBy("doc_id").agg(
+        F.flatten(F.collect_list("at")).alias("places")
     )
-    return marked.select("doc_id", "n_words", "digest", "sha", "copy"), stored(places, "places")
+    found = texts.select("doc_id", "text").join(places, "doc_id")
+    return marked.select("doc_id", "n_words", "digest", "sha", "copy"), found
 
 
 def without_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
@@ -241,7 +235,7 @@ def without_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     one's source. An empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    seen, places = repeated_spans(docs, window)
+    seen, found = repeated_spans(docs, window)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes, removed, shas, kept, digests = [], [], [], [], []
@@ -267,8 +261,7 @@ def without_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
         )
 
     changed = (
-        docs.join(places, "doc_id")
-        .select("doc_id", "text", "places")
+        found.select("doc_id", "text", "places")
         .mapInArrow(by_batch(make), "id long, removed long, kept_sha256 string, kept binary, same binary")
         .dropDuplicates(["id", "same"])
     )
