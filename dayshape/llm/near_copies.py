@@ -140,10 +140,8 @@ def sets_of(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(by_slice(make), "doc_id long, shingles array<long>")
 
 
-def links(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = stored(sets_of(docs.join(wanted, "doc_id", "left_semi"), shingle), "shingles")
     both = pairs.join(sets.toDF("a", "one"), "a").join(sets.toDF("b", "two"), "b")
     counted = both.select(
         "a", "b", F.size(F.array_intersect("one", "two")).alias("same"), (F.size("one") + F.size("two")).alias("all")
@@ -173,10 +171,13 @@ def near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFra
     entries = classes.select(F.explode("keys").alias("key"), "rep", "size")
     crowded = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = stored(entries.join(crowded, "key", "left_semi").distinct(), "buckets")
+    # The full sets of all that have a candidate, read once for all rounds.
+    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
+    sets = stored(sets_of(docs.join(wanted, "doc_id", "left_semi"), shingle), "shingles")
     roots = linked(
         members,
         lambda one, two: f"100 * least({one}, {two}) >= {percent} * greatest({one}, {two})",
-        lambda pairs: links(pairs, docs, shingle, percent),
+        lambda pairs: links(pairs, sets, percent),
         "near-copies",
     )
     named = classes.select("digest", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
