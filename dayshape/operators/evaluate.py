@@ -39,12 +39,13 @@ def _metrics(mse: Column, mae: Column, variance: Column) -> dict[str, Column]:
 
 
 def score(predictions: DataFrame, by: Sequence[str] = MODEL_KEYS) -> DataFrame:
-    """RMSE, MAE and R2 per group, in one pass."""
+    """RMSE, MAE and R2 per group, in one pass, all over the rows with both values known."""
     actual, prediction = F.col("actual"), F.col("prediction")
+    known = actual.isNotNull() & prediction.isNotNull()
     sums = predictions.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(known).alias("n_rows"),
         *_error_sums(prediction, actual),
-        F.var_pop(actual).alias("variance"),
+        F.var_pop(F.when(known, actual)).alias("variance"),
     )
     found = _metrics(F.col("mse"), F.col("mae"), F.col("variance"))
     return sums.select(*by, "n_rows", *[c.alias(n) for n, c in found.items()])
