@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,7 +37,7 @@ SLOT_BITS = 22  # slots of the table of each hashed context
 ORDERS = 2  # hashed contexts: of one word and of two
 RANGES = 64  # parts in which the tables are summed
 STRETCH = 256
-GROUP_TOKENS = 400_000  # tokens coded side by side
+GROUP_TOKENS = 120_000  # tokens coded side by side
 MIXED_BITS = 13  # of a code; the rest of a long code goes by how frequent its words are
 GATES = 9
 SPELL_BITS = 22  # places of the table of bytes behind three
@@ -60,14 +61,14 @@ def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         side[b] = 1
         heapq.heappush(heap, (one + two, new))
         new += 1
-    offsets, nodes, bits = [0], [], []
+    offsets, nodes, bits = array("q", [0]), array("i"), array("b")
     for symbol in range(n):
         path, at = [], symbol
         while at != new - 1:
-            path.append((above[at] - n, side[at]))
+            path.append((int(above[at]) - n, int(side[at])))
             at = above[at]
-        nodes += [x for x, _ in reversed(path)]
-        bits += [x for _, x in reversed(path)]
+        nodes.extend([x for x, _ in reversed(path)])
+        bits.extend([x for _, x in reversed(path)])
         offsets.append(len(nodes))
     return np.array(offsets), np.array(nodes, np.int32), np.array(bits, np.int8)
 
@@ -146,13 +147,15 @@ def groups(texts: list[bytes | None], code: Code) -> Iterator[tuple[int, list[li
 def word_counts(rows: DataFrame) -> DataFrame:
     """(word, n): how often each lower-cased word stands in the texts."""
 
-    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found: Counter[bytes] = Counter()
-        for text in bytes_of(batch.column(0)):
-            found.update(spaced_words((text or b"").lower()))
-        return batch_of(word=(pa.binary(), list(found)), n=(pa.int64(), list(found.values())))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 1500):
+                found: Counter[bytes] = Counter()
+                for text in bytes_of(batch.column(0).slice(first, 1500)):
+                    found.update(spaced_words((text or b"").lower()))
+                yield batch_of(word=(pa.binary(), list(found)), n=(pa.int64(), list(found.values())))
 
-    parts = rows.select("text").mapInArrow(by_batch(make), "word binary, n long")
+    parts = rows.select("text").mapInArrow(count, "word binary, n long")
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -229,7 +232,7 @@ def spelling(counts: DataFrame) -> list[np.ndarray]:
         return batch_of(place=(pa.int64(), at), n=(pa.int64(), n))
 
     parts = counts.select("word").mapInArrow(by_batch(make), "place long, n long")
-    seen = np.zeros((1 << 16) + (1 << SPELL_BITS))
+    seen = np.zeros((1 << 16) + (1 << SPELL_BITS), np.float32)
     for place, n in parts.groupBy("place").agg(F.sum("n")).toLocalIterator():  # of a fixed size
         seen[place] = n
     one, three = seen[: 1 << 16].reshape(-1, 256), seen[1 << 16 :].reshape(-1, 256)
