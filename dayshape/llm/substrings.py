@@ -231,8 +231,9 @@ def without_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     a row with a smaller doc_id; windows are judged on the input. kept_sha256 is that of the kept
     words, joined by one space; kept holds them where something was removed, else null. A null
     text has no words. Rows of fewer words than a window keep all of them. Rows that repeat a
-    doc_id are no smaller than each other; a row without an id keeps all of its words and is no
-    one's source. An empty table gives an empty result.
+    doc_id and its text are no smaller than each other and keep the same words; where texts of one
+    doc_id differ, the repeats found in either are taken from both. A row without an id keeps all
+    of its words and is no one's source. An empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     seen, found = repeated_spans(docs, window)
