@@ -1,10 +1,13 @@
 """Passages that repeat across documents, found with compressed indexes over shards of them.
 
 Two equal windows of words hold the same anchor: the short word sequence with the smallest hash in
-the window. So only runs of windows around an anchor that several documents share can repeat, and
-all runs of one anchor go to one shard. A shard indexes its distinct runs (Burrows-Wheeler
-transform in a wavelet matrix of packed bits) and streams them through backward search: after
-`window` steps the interval of a window is known, and with it the first document that has it.
+the window. So only runs of windows around an anchor that several documents share can repeat. Spark
+reduces equal runs to one with its first document, and the distinct runs of an anchor go to one
+shard. A shard indexes them (Burrows-Wheeler transform in a wavelet matrix of packed bits) and
+streams them through backward search: after `window` steps the interval of a window is known, and
+with it the first document that has it. Anchors with more than HEAVY_WORDS words of distinct runs
+don't go to a shard: their runs are cut into windows, which Spark groups. The first documents are
+then joined back to the places.
 Rows whose words are all those of another are set aside before, however many there are.
 """
 
@@ -26,6 +29,7 @@ from dayshape.llm.suffixes import suffix_array
 ANCHOR_WORDS = 4
 ANCHOR_BITS = 48  # of an anchor's hash; another anchor of the same hash only costs time
 SHARD_WORDS = 300_000  # words of distinct runs in one index; the runs of an anchor stay together
+HEAVY_WORDS = 30_000  # words of distinct runs of one anchor that may go to a shard
 
 
 class FmIndex:
@@ -134,11 +138,14 @@ def overview(docs: DataFrame, window: int) -> DataFrame:
     )
 
 
-def runs_of(docs: DataFrame, window: int) -> DataFrame:
-    """(doc_id, start, anchor, run) of docs (doc_id, text, shared): runs at shared anchors."""
+def runs_of(docs: DataFrame, window: int, whole: bool = True) -> DataFrame:
+    """(doc_id, start, anchor, digest, run) of docs (doc_id, text, shared): runs at shared anchors.
+
+    digest is that of a run; run is its text, or null unless whole.
+    """
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, starts, names, texts = [], [], [], []
+        ids, starts, names, digests, texts = [], [], [], [], []
         shared = batch.column(2).to_pylist()
         for doc, text, own in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1)), shared, strict=True):
             words = spaced_words(text)
@@ -155,49 +162,85 @@ def runs_of(docs: DataFrame, window: int) -> DataFrame:
                 ids.append(doc)
                 starts.append(a)
                 names.append(anchor)
-                texts.append(b" ".join(words[a : b + window]))
+                run = b" ".join(words[a : b + window])
+                digests.append(xxhash.xxh3_128_digest(run))
+                texts.append(run if whole else None)
         return batch_of(
-            doc_id=(pa.int64(), ids), start=(pa.int32(), starts), anchor=(pa.int64(), names), run=(pa.binary(), texts)
+            doc_id=(pa.int64(), ids),
+            start=(pa.int32(), starts),
+            anchor=(pa.int64(), names),
+            digest=(pa.binary(), digests),
+            run=(pa.binary(), texts),
         )
 
-    return docs.mapInArrow(by_batch(make), "doc_id long, start int, anchor long, run binary")
+    return docs.mapInArrow(by_batch(make), "doc_id long, start int, anchor long, digest binary, run binary")
 
 
-def earlier_windows(runs: DataFrame, window: int) -> DataFrame:
-    """(doc_id, at): the places in each document of windows that an earlier document has.
+def parted(distinct: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """distinct (anchor, run, ..) in two: runs of anchors for the shards, and those of heavy ones."""
+    size = F.length("run") - F.length(F.translate(F.col("run").cast("string"), " ", "").cast("binary")) + 1
+    heavy = distinct.groupBy("anchor").agg(F.sum(size).alias("n")).where(F.col("n") > HEAVY_WORDS).select("anchor")
+    return distinct.join(heavy, "anchor", "left_anti"), distinct.join(heavy, "anchor", "left_semi")
 
-    Equal runs follow each other, so a shard holds each of them once, with its first document.
-    """
 
-    def shard(runs: list[bytes], rows: list[list[tuple[int, int]]]) -> pa.RecordBatch:
-        firsts = np.array([min(doc for doc, _ in own) for own in rows], np.int64)
-        ids, places = [], []
-        for found, own in zip(first_documents([x.split() for x in runs], firsts, window), rows, strict=True):
-            for doc, start in own:
-                at = np.flatnonzero(found < doc)
-                if len(at):
-                    ids.append(doc)
-                    places.append(at + start)
-        return batch_of(doc_id=(pa.int64(), ids), at=(pa.list_(pa.int32()), places))
+def firsts_of_heavy(runs: DataFrame, window: int) -> DataFrame:
+    """(digest, last, firsts) of distinct runs, by grouping their windows."""
+    own = "split(cast(run as string), ' ')"
+    windows = runs.select("digest", "last", "first", F.expr(own).alias("words")).select(
+        "digest",
+        "last",
+        "first",
+        F.expr(
+            f"posexplode(transform(sequence(1, size(words) - {window - 1}), i -> array_join(slice(words, i, {window}), ' ')))"
+        ).alias("nth", "passage"),
+    )
+    least = windows.groupBy("passage").agg(F.min("first").alias("least"))
+    found = windows.select("digest", "last", "nth", "passage").join(least, "passage")
+    return found.groupBy("digest", "last").agg(
+        F.expr("transform(array_sort(collect_list(struct(nth, least))), x -> x.least)").alias("firsts")
+    )
+
+
+def earlier_windows(docs: DataFrame, window: int) -> DataFrame:
+    """(doc_id, at) of docs (doc_id, text, shared): the places of windows that an earlier document has."""
+
+    def shard(rows: list[tuple]) -> pa.RecordBatch:
+        digests, runs, firsts, lasts = zip(*rows, strict=True)
+        found = first_documents([x.split() for x in runs], np.array(firsts, np.int64), window)
+        return batch_of(
+            digest=(pa.binary(), digests), last=(pa.int64(), lasts), firsts=(pa.list_(pa.int64()), found)
+        )
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs, rows, size, last = [], [], 0, (None, None)
+        rows, size, last = [], 0, None
         for batch in batches:
-            for doc, start, anchor, run in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (anchor, run) != last:
-                    if anchor != last[0] and size >= SHARD_WORDS:
-                        yield shard(runs, rows)
-                        runs, rows, size = [], [], 0
-                    runs.append(run)
-                    rows.append([])
-                    size += run.count(b" ") + 1
-                    last = anchor, run
-                rows[-1].append((doc, start))
-        if runs:
-            yield shard(runs, rows)
-
-    dealt = runs.repartition("anchor").sortWithinPartitions("anchor", "run", "doc_id", "start")
-    return dealt.mapInArrow(stream, "doc_id long, at array<int>")
+            for anchor, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if anchor != last and size >= SHARD_WORDS:
+                    yield shard(rows)
+                    rows, size = [], 0
+                rows.append(row)
+                size += row[1].count(b" ") + 1
+                last = anchor
+        if rows:
+            yield shard(rows)
+
+    distinct = stored(
+        runs_of(docs, window)
+        .groupBy("anchor", "digest", "run")
+        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")),
+        "distinct-runs",
+    )
+    light, heavy = parted(distinct)
+    columns = ["anchor", "digest", "run", "first", "last"]
+    dealt = light.select(columns).repartition("anchor").sortWithinPartitions("anchor", "digest")
+    firsts = dealt.mapInArrow(stream, "digest binary, last long, firsts array<long>").unionAll(
+        firsts_of_heavy(heavy, window)
+    )
+    # Runs with a window that some document which has them isn't the first to have.
+    firsts = stored(firsts.where("array_min(firsts) < last").select("digest", "firsts"), "first-documents")
+    at = "filter(transform(firsts, (f, i) -> if(f < doc_id, start + i, null)), x -> x is not null)"
+    places = runs_of(docs, window, whole=False).select("doc_id", "start", "digest")
+    return places.join(firsts, "digest").select("doc_id", F.expr(at).alias("at")).where("size(at) > 0")
 
 
 def repeated_spans(docs: DataFrame, window: int = 13) -> tuple[DataFrame, DataFrame]:
@@ -217,7 +260,7 @@ def repeated_spans(docs: DataFrame, window: int = 13) -> tuple[DataFrame, DataFr
     shared = own.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     wanted = own.join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_list("anchor").alias("shared"))
     texts = stored(docs.join(wanted, "doc_id").select("doc_id", "text", "shared"), "shared-texts")
-    places = earlier_windows(runs_of(texts, window), window).groupBy("doc_id").agg(
+    places = earlier_windows(texts, window).groupBy("doc_id").agg(
         F.flatten(F.collect_list("at")).alias("places")
     )
     found = texts.select("doc_id", "text").join(places, "doc_id")

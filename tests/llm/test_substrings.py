@@ -4,6 +4,7 @@ import random
 import numpy as np
 from helpers import corpus, documents, spaced, words
 
+from dayshape.llm import substrings
 from dayshape.llm.substrings import FmIndex, first_documents, without_repeats
 
 
@@ -60,3 +61,22 @@ def test_first_document_of_each_window():
     runs = [[b"a", b"b", b"c", b"d"], [b"b", b"c", b"d"], [b"x", b"b", b"c", b"d", b"a"]]
     found = first_documents(runs, np.array([5, 3, 9]), 3)
     assert [x.tolist() for x in found] == [[5, 3], [3], [9, 3, 9]]
+
+
+def test_no_shard_gets_a_heavy_anchor(spark, rows, monkeypatch):
+    rnd = random.Random(6)
+    phrase = words(rnd, 12)
+    texts = [" ".join([*words(rnd, 9), *phrase, *words(rnd, 9)]) for _ in range(60)]
+    texts += [" ".join(words(rnd, 4) + text.split()[2:] + words(rnd, 4)) for text in texts[:30]]
+    monkeypatch.setattr(substrings, "HEAVY_WORDS", 200)
+    given, whole = [], substrings.parted
+
+    def parted(distinct):
+        light, heavy = whole(distinct)
+        given.extend([light.groupBy("anchor").count().agg({"count": "max"}).first()[0] or 0, heavy.count()])
+        return light, heavy
+
+    monkeypatch.setattr(substrings, "parted", parted)
+    got = rows(without_repeats(documents(spark, texts)).drop("kept"))
+    assert got == brute(list(enumerate(texts)), 13)
+    assert given[0] * 13 <= 200 and given[1] > 30
