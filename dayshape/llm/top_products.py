@@ -46,7 +46,7 @@ def matrix(lists: list[list[int]], width: int) -> np.ndarray:
 
 
 class Best:
-    """The k best (score, vec_id) of each query so far, ties to the smaller vec_id."""
+    """The k best (score, vec_id) of each query so far, ties to the smaller vec_id, each id once."""
 
     def __init__(self, n_queries: int, k: int) -> None:
         self.k = k
@@ -59,9 +59,13 @@ class Best:
         if len(scores) > 4 * self.k:
             level = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
             keep = scores >= level
-            scores, ids = scores[keep], ids[keep]
-        order = np.lexsort((ids, -scores))[: self.k]
-        self.scores[query], self.ids[query] = scores[order], ids[order]
+            if len(np.unique(ids[keep])) >= self.k:
+                scores, ids = scores[keep], ids[keep]
+        order = np.lexsort((ids, -scores))
+        first = np.sort(np.unique(ids[order], return_index=True)[1])  # the best of each id
+        order = order[first][: self.k]
+        self.scores[query], self.ids[query] = -np.inf, np.iinfo(np.int64).max
+        self.scores[query, : len(order)], self.ids[query, : len(order)] = scores[order], ids[order]
 
 
 def search_blocks(

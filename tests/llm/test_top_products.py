@@ -48,3 +48,15 @@ def test_pruning_changes_nothing():
                 order = np.lexsort((ids, -(x @ x[j])))
                 order = order[order != j][:5]
                 assert best.ids[k, : len(order)].tolist() == ids[order].tolist()
+
+
+def test_an_id_with_six_vectors_fills_one_place(spark):
+    rows = [(1, [10, k]) for k in range(6)] + [(k, [9 - k, 0]) for k in range(2, 8)]
+    vectors = spark.createDataFrame(rows, "vec_id long, v array<long>").coalesce(1)
+    queries = spark.createDataFrame([(50, [10, 1])], "vec_id long, v array<long>")
+    got = sorted((r["rank"], r.vec_id, r.score) for r in top_products(vectors, queries).collect())
+    assert got == [(1, 1, 105), (2, 2, 70), (3, 3, 60), (4, 4, 50), (5, 5, 40)]
+    best = Best(1, 2)
+    best.add(0, np.arange(20.0), np.array([7] * 19 + [8]))
+    best.add(0, np.array([30.0, 29.0]), np.array([7, 7]))
+    assert (best.ids.tolist(), best.scores.tolist()) == ([[7, 8]], [[30, 19]])
