@@ -8,8 +8,8 @@ the contexts have been seen; each bit then moves those weights by the gradient o
 and a second, adaptive table refines the mixed probability. The coding cost over the bytes of a
 text is its bits per byte.
 
-A text is coded in stretches of STRETCH tokens that each start from the same weights, side by
-side; contexts reach over their borders.
+All bits of a code are mixed, and weights and adaptive table go through a whole text; texts are coded
+side by side.
 """
 
 from __future__ import annotations
@@ -36,14 +36,12 @@ FREQUENT = 1 << 17  # words with a code of their own; all others are escaped and
 SLOT_BITS = 22  # slots of the table of each hashed context
 ORDERS = 2  # hashed contexts: of one word and of two
 RANGES = 64  # parts in which the tables are summed
-STRETCH = 256
 GROUP_TOKENS = 120_000  # tokens coded side by side
-MIXED_BITS = 13  # of a code; the rest of a long code goes by how frequent its words are
 GATES = 9
 SPELL_BITS = 22  # places of the table of bytes behind three
 SSE_STEPS = 24
 RATE, SSE_RATE = 0.03, 0.02
-#: Weights of the contexts of 0, 1 and 2 words at the start of a stretch.
+#: Weights of the contexts of 0, 1 and 2 words at the start of a text.
 FIRST_WEIGHTS = np.array([0.45, 0.5, 0.2], np.float32)
 PRIOR = 0.4  # added to the counts of 0 and of 1
 END, ESCAPE = 0, 1  # symbols; frequent words follow
@@ -87,15 +85,8 @@ class Code:
         ones = np.bincount(nodes, weight * bits, len(counts))
         zeros = np.bincount(nodes, weight * (1 - bits), len(counts))
         self.node_odds = np.log((ones + PRIOR) / (zeros + PRIOR)).astype(np.float32)
-        sizes = np.diff(offsets)
-        late = np.arange(len(nodes)) - np.repeat(offsets[:-1], sizes) >= MIXED_BITS
-        odds = self.node_odds[nodes[late]].astype(float)
-        rest = -np.logaddexp(0, np.where(bits[late], -odds, odds))
-        #: Natural log probability of the bits of each symbol that aren't mixed.
-        self.rest = np.bincount(np.repeat(np.arange(len(counts)), sizes)[late], rest, len(counts))
-        self.nodes, self.bits = nodes[~late], bits[~late]
+        self.nodes, self.bits, self.offsets = nodes, bits, offsets
         self.node_hashes = mixed(np.arange(len(counts), dtype=np.uint64))
-        self.offsets = np.concatenate([[0], np.cumsum(np.minimum(sizes, MIXED_BITS))])
 
     @cached_property
     def numbers(self) -> dict[bytes, int]:
@@ -294,16 +285,12 @@ class Model:
         two = two + (1 << SLOT_BITS)
         inputs = [self.code.node_odds[nodes], *(self.odds[slot] * np.float32(1 / 512) for slot in (one, two))]
         gates = self.seen[one].astype(np.int64) * 3 + self.seen[two]
-        cuts = np.unique(np.concatenate([np.arange(a, b, STRETCH) for a, b in zip(begins[:-1], begins[1:], strict=True)]))
         bit_at = np.concatenate([[0], np.cumsum(sizes)])
-        starts = bit_at[cuts]
-        lengths = bit_at[np.append(cuts[1:], len(tokens))] - starts
+        starts, lengths = bit_at[begins[:-1]], np.diff(bit_at[begins])
         order = np.argsort(-lengths, kind="stable")
-        cost = np.zeros(len(cuts))
+        cost = np.zeros(len(starts))
         cost[order] = mix(inputs, gates, bits, starts[order], lengths[order])
-        owner = np.searchsorted(begins, cuts, side="right") - 1
-        rest = np.add.reduceat(self.code.rest[tokens], begins[:-1])
-        return (np.bincount(owner, cost, len(begins) - 1) + rest) / np.log(10)
+        return cost / np.log(10)
 
     def spelled(self, words: list[bytes]) -> np.ndarray:
         """log10 probability of each word's bytes and its end."""

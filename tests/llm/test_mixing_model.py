@@ -80,3 +80,18 @@ def test_a_bit_and_its_opposite_share_all_probability():
     less = m.mix([x[:39] for x in inputs], np.zeros(39, np.int64), bits[:39], lane[0], np.array([39]))
     both = [m.mix(inputs, np.zeros(40, np.int64), x, *lane) for x in (bits, other)]
     assert abs(sum(np.exp(x - less)[0] for x in both) - 1) < 1e-5
+
+
+def test_all_bits_of_a_whole_text_are_mixed_in_one_lane(monkeypatch):
+    words = [b"w%d" % k for k in range(40)]
+    code = m.Code(words, np.array([1, 1, *(2**k for k in range(40))]))
+    assert np.diff(code.offsets).max() > 30  # the rarest words have long codes
+    size = m.ORDERS << m.SLOT_BITS
+    model = m.Model(code, np.zeros(size, np.int16), np.zeros(size, np.int8), [])
+    seen, mix = [], m.mix
+    monkeypatch.setattr(m, "mix", lambda *given: seen.append(given[-1]) or mix(*given))
+    tokens = np.concatenate([code.tokens(words * 20), code.tokens(words[:1])])
+    got = model.log_probabilities(tokens, np.array([0, 801, len(tokens)]))
+    bits = np.diff(code.offsets)[tokens]
+    assert seen[0].tolist() == [bits[:801].sum(), bits[801:].sum()]
+    assert (got < 0).all()
