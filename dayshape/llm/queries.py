@@ -5,6 +5,8 @@ from __future__ import annotations
 from dayshape.llm.decontaminate import op2
 from dayshape.llm.license_scan import op7
 from dayshape.llm.lines import op1
+from dayshape.llm.manifest import ORACLE as MANIFEST
+from dayshape.llm.manifest import op11
 from dayshape.llm.mixing_model import op4
 from dayshape.llm.near_copies import op3
 from dayshape.llm.packing import op6
@@ -25,6 +27,10 @@ QUERIES = {
     "op8_substring_dedup": op8,
     "op9_exact_top_products": op9,
     "op10_token_counts": op10,
+    "op11_merkle_manifest": op11,
 }
 
-ORACLES: dict[str, str] = {"op9_exact_top_products": TOP_PRODUCTS}
+ORACLES: dict[str, str] = {
+    "op9_exact_top_products": TOP_PRODUCTS,
+    "op11_merkle_manifest": MANIFEST,
+}
