@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dayshape.llm.decontaminate import op2
+from dayshape.llm.lexical_search import ORACLE as LEXICAL
+from dayshape.llm.lexical_search import op12
 from dayshape.llm.license_scan import op7
 from dayshape.llm.lines import op1
 from dayshape.llm.manifest import ORACLE as MANIFEST
@@ -28,9 +30,11 @@ QUERIES = {
     "op9_exact_top_products": op9,
     "op10_token_counts": op10,
     "op11_merkle_manifest": op11,
+    "op12_ranked_search": op12,
 }
 
 ORACLES: dict[str, str] = {
     "op9_exact_top_products": TOP_PRODUCTS,
     "op11_merkle_manifest": MANIFEST,
+    "op12_ranked_search": LEXICAL,
 }
