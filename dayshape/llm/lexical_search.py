@@ -23,7 +23,7 @@ from dayshape.llm.common import batch_of, bytes_of, plain_words, stored
 # The parts of the score.
 WEIGHT_SCALE, TF_SCALE, TF_STEP, M_STEP, M_PART = 1000, 1_000_000_000, 1000, 8, 90
 
-SHARD_ENTRIES = 1 << 21  # terms of documents in a shard: bounds a task's memory
+SHARD_ENTRIES = 1 << 19  # terms of documents in a shard: bounds a task's memory (some 250 bytes each)
 BUCKET = 128  # documents whose scores are worked out at once
 SLICE_BYTES = 4 << 20  # of text, handled at once
 
