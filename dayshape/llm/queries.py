@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dayshape.llm.decontaminate import op2
+from dayshape.llm.language_id import op13
 from dayshape.llm.lexical_search import ORACLE as LEXICAL
 from dayshape.llm.lexical_search import op12
 from dayshape.llm.license_scan import op7
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_token_counts": op10,
     "op11_merkle_manifest": op11,
     "op12_ranked_search": op12,
+    "op13_language_id": op13,
 }
 
 ORACLES: dict[str, str] = {
