@@ -252,8 +252,8 @@ def shard_search(k: int, n_docs: int, n_terms: int):
                     continue
                 found = [
                     (item, doc, score)
-                    for item, query in zip(rows.column("id").to_pylist(), rows.column("query"), strict=True)
-                    for score, doc in trie.search(query.values.to_numpy(zero_copy_only=False), k)
+                    for item, query in zip(rows.column("id").to_pylist(), rows.column("query").to_pylist(), strict=True)
+                    for score, doc in trie.search(np.array(query.split(","), np.int64), k)
                 ]
                 if found:
                     item, doc, score = zip(*found, strict=True)
@@ -293,7 +293,9 @@ def ranked_search(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame
     shards = -(-weights.agg(F.sum("df")).first()[0] // SHARD_ENTRIES)
     parts = entries.join(weights.select("t", "df", "w"), "t").where("id is not null")
     parts = parts.select(F.pmod(F.xxhash64("row"), F.lit(shards)).cast("bigint").alias("shard"), *COLUMNS)
-    asked = items.join(weights.select("term", "t"), "term").groupBy("id").agg(F.collect_list("t").alias("query"))
+    # As text: Spark measures a batch after every row, which takes long for columns of arrays.
+    numbers = F.array_join(F.collect_list(F.col("t").cast("string")), ",")
+    asked = items.join(weights.select("term", "t"), "term").groupBy("id").agg(numbers.alias("query"))
     every = F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))
     asked = asked.select(F.explode(every).alias("shard"), "id", "query")
     # One number to sort by, so that Spark sorts by radix and compares no rows.
