@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from dayshape import sources
 from dayshape.functions import half_up
 from dayshape.operators import clean, evaluate, features, models, profile, quality, reports, star
+from dayshape.operators.planner import planner, rows_per_id
 from dayshape.plans import bindings as b
 from dayshape.plans.bindings import HOURLY, LINE_FEATURES, LINES, PRIMARY, SPLITS, YEARLY
 from dayshape.spec import FeatureSet
@@ -134,17 +136,29 @@ def _profile_star(spark, sf_dir) -> star.Star:
         region=profile.region_dim(facts, HOURLY),
         entity=profile.entity_dim(facts, HOURLY),
         profile=profile.peak_index(b.events_clean(spark, sf_dir), HOURLY),
-        annual=b.annual_flow(spark, sf_dir),
+        annual=b.annual_flow(spark, sf_dir).withColumnRenamed("o_custkey", "user_id"),
     )
 
 
+STORED: dict[tuple[str, str], star.Star] = {}
+
+
+def _planner_star(spark, sf_dir) -> star.Star:
+    """That star, stored by entity once per application: what all planner queries read."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in STORED:
+        STORED[key] = star.store_star(_profile_star(spark, sf_dir), HOURLY, scratch(spark), "flow")
+    return STORED[key]
+
+
 @query
 def build_star(spark, sf_dir):
     built = _star(spark, sf_dir, scratch(spark))
 
     def facet(name: str, table: DataFrame, total) -> DataFrame:
+        broken = sum(n for (owner, _), n in built.observed.items() if owner == name)
         return table.agg(F.count(F.lit(1)).alias("n_rows"), total.alias("total")).select(
-            F.lit(name).alias("table"), "n_rows", "total"
+            F.lit(name).alias("table"), "n_rows", "total", F.lit(broken).cast("bigint").alias("violations")
         )
 
     parts = [
@@ -157,13 +171,24 @@ def build_star(spark, sf_dir):
 
 
 def _defective_star(spark, sf_dir) -> star.Star:
-    """The star with a seventh of the entities missing and one slot's profile rows twice."""
-    whole = _profile_star(spark, sf_dir)
-    return star.Star(
-        region=whole.region,
-        entity=whole.entity.where("user_id % 7 <> 0"),
-        profile=whole.profile.unionAll(whole.profile.where("hour = 9")),
-        annual=whole.annual.withColumnRenamed("o_custkey", "user_id"),
+    """A star built from rows that break its rules, then robbed of entities and given repeated rows."""
+    user = F.col("user_id")
+    flag = F.when(F.col("c_mktsegment").isin(list(HOURLY.major_classes)), 1).otherwise(0)
+    facts = b.hourly(spark, sf_dir).withColumns(
+        {
+            "value": F.when(user % 11 == 0, -F.col("value")).otherwise(F.col("value")),
+            "c_mktsegment": F.when(user % 13 != 0, F.col("c_mktsegment")),
+            "r_name": F.when(F.col("r_regionkey") != 3, F.col("r_name")),
+            "is_major": F.when(user % 17 == 0, 2).otherwise(flag),
+        }
+    )
+    flow = F.when(user % 19 == 0, -F.col("flow")).otherwise(F.col("flow"))
+    annual = b.annual_flow(spark, sf_dir).withColumnRenamed("o_custkey", "user_id").withColumn("flow", flow)
+    built = star.build_star(facts, annual, HOURLY, ["flow"], first_period=1990, directory=scratch(spark))
+    return replace(
+        built,
+        entity=built.entity.where("user_id % 7 <> 0"),
+        profile=built.profile.unionAll(built.profile.where("hour = 9")),
     )
 
 
@@ -174,8 +199,11 @@ def star_check(spark, sf_dir):
 
 @query
 def load_report(spark, sf_dir):
-    found = _defective_star(spark, sf_dir)
-    return plain(star.load_report(b.hourly_clean(spark, sf_dir), found.annual, found, HOURLY))
+    whole = _planner_star(spark, sf_dir)
+    placed = whole.region.where("r_regionkey <> 2")
+    entity = star.repair_fk(whole.entity.where("user_id % 7 <> 0"), "r_regionkey", placed, "r_regionkey")
+    found = replace(whole, region=placed, entity=entity)
+    return plain(star.load_report(b.hourly_clean(spark, sf_dir), whole.annual, found, HOURLY))
 
 
 @query
@@ -335,22 +363,21 @@ def attach_history(spark, sf_dir):
 
 @query
 def entity_profile(spark, sf_dir):
-    return plain(reports.entity_profile(_profile_star(spark, sf_dir), HOURLY, "7"))
+    with planner(spark, _planner_star(spark, sf_dir), HOURLY) as ask:
+        return plain(ask.entity_profile("7"))
 
 
 @query
 def entity_peak_map(spark, sf_dir):
-    built = _profile_star(spark, sf_dir)
+    built = _planner_star(spark, sf_dir)
     gaps = built.entity.withColumn("lat", F.when(F.col("user_id") % 7 != 0, F.col("lat")))
-    placed = star.Star(built.region, gaps, built.profile, built.annual)
-    return plain(
-        reports.entity_peak_map(placed, profile.entity_peak(built.profile, HOURLY), HOURLY)
-    )
+    peaks = profile.entity_peak(built.profile, HOURLY)
+    return plain(reports.entity_peak_map(replace(built, entity=gaps), peaks, HOURLY))
 
 
 @query
 def region_star(spark, sf_dir):
-    rows = reports.region_star(_profile_star(spark, sf_dir), HOURLY)
+    rows = reports.region_star(_planner_star(spark, sf_dir), HOURLY)
     return plain(
         rows.select("user_id", "hour", "mean_measure", "peak_index", "c_mktsegment", "r_name")
     )
@@ -454,20 +481,22 @@ def slot_summary(spark, sf_dir):
 
 @query
 def class_peak(spark, sf_dir):
-    return plain(reports.class_peak(_profile_star(spark, sf_dir), HOURLY))
+    with planner(spark, _planner_star(spark, sf_dir), HOURLY) as ask:
+        return plain(ask.class_peak())
 
 
 @query
 def annual_trend(spark, sf_dir):
-    gaps = b.annual_flow(spark, sf_dir).withColumn(
-        "flow", F.when(F.col("o_custkey") % 11 != 0, F.col("flow"))
-    )
-    return plain(reports.annual_trend(gaps, YEARLY, "flow", 1996, 2000))
+    whole = _planner_star(spark, sf_dir)
+    gaps = whole.annual.withColumn("flow", F.when(F.col("user_id") % 11 != 0, F.col("flow")))
+    with planner(spark, replace(whole, annual=gaps), HOURLY, "flow") as ask:
+        return plain(ask.annual_trend(1996, 2000))
 
 
 @query
 def region_summary(spark, sf_dir):
-    return plain(reports.region_summary(_profile_star(spark, sf_dir), HOURLY))
+    with planner(spark, _planner_star(spark, sf_dir), HOURLY) as ask:
+        return plain(ask.region_summary())
 
 
 @query
@@ -583,7 +612,7 @@ def entity_history(spark, sf_dir):
 
 @query
 def class_pivot(spark, sf_dir):
-    rows = reports.class_peak(_profile_star(spark, sf_dir), HOURLY)
+    rows = reports.class_peak(_planner_star(spark, sf_dir), HOURLY)
     return plain(reports.class_pivot(rows, HOURLY, b.table(spark, sf_dir, "customer")))
 
 
@@ -599,7 +628,7 @@ def clip_at_quantile(spark, sf_dir):
 
 @query
 def latest_period(spark, sf_dir):
-    built = _profile_star(spark, sf_dir)
+    built = _planner_star(spark, sf_dir)
     return plain(reports.latest_period(built.annual, built.profile, HOURLY, "flow"))
 
 
@@ -649,16 +678,14 @@ def model_rank(spark, sf_dir):
 
 @query
 def sharpest(spark, sf_dir):
-    rows = reports.sharpest(
-        _profile_star(spark, sf_dir), HOURLY, ["c_name", "c_mktsegment", "n_name"]
-    )
-    return plain(rows)
+    with planner(spark, _planner_star(spark, sf_dir), HOURLY) as ask:
+        return plain(ask.sharpest(("c_name", "c_mktsegment", "n_name")))
 
 
 @query
 def sharpest_named(spark, sf_dir):
     rows = reports.sharpest(
-        _profile_star(spark, sf_dir),
+        _planner_star(spark, sf_dir),
         HOURLY,
         ["n_name", "c_mktsegment"],
         limit=15,
@@ -727,15 +754,8 @@ def notnull_violations(spark, sf_dir):
 
 @query
 def bound_params(spark, sf_dir):
-    """Rows per id given as text, in one pass over the orders whatever the number of ids."""
-    given = spark.createDataFrame([(text,) for text in b.HOSTILE], "id string")
-    orders = b.orders(spark, sf_dir)
-    typed = [int(text) for text in b.HOSTILE if text.isdecimal()]
-    found = orders.where(F.col("o_custkey").isin(typed)).groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    counted = given.join(found, F.col("id") == F.col("o_custkey").cast("string"), "left")
-    return counted.select("id", F.coalesce("n", F.lit(0)).alias("n_rows"))
+    """Rows per id given as text: the texts are arguments of one query over the orders."""
+    return rows_per_id(b.orders(spark, sf_dir), "o_custkey", b.HOSTILE)
 
 
 # ---- features and models -------------------------------------------------------------------

@@ -239,38 +239,57 @@ ORACLES: dict[str, str] = {
     "build_star": f"""WITH {STAR}, {ORDERS}, {ANNUAL},
         fa AS (SELECT * FROM af WHERE year BETWEEN 1996 AND 2100
                AND o_custkey IN (SELECT user_id FROM d))
-        SELECT 'dim_region' AS "table", count(*) AS n_rows, {r('sum(entities)', 2)} AS total FROM reg
-        UNION ALL SELECT 'dim_entity', count(*), {r('sum(lat)', 2)} FROM d
-        UNION ALL SELECT 'fact_profile', count(*), {r('sum(peak_index)', 2)} FROM p
-        UNION ALL SELECT 'fact_annual', count(*), {r('sum(flow)', 2)} FROM fa""",
-    "star_check": f"""WITH {STAR}, {ORDERS}, {ANNUAL},
-        d2 AS (SELECT * FROM d WHERE user_id % 7 <> 0),
-        p2 AS (SELECT user_id, hour, observations, mean_measure FROM p
-               UNION ALL SELECT user_id, hour, observations, mean_measure FROM p WHERE hour = 9)
+        SELECT 'dim_region' AS "table", count(*) AS n_rows, {r('sum(entities)', 2)} AS total,
+            CAST(0 AS BIGINT) AS violations FROM reg
+        UNION ALL SELECT 'dim_entity', count(*), {r('sum(lat)', 2)}, 0 FROM d
+        UNION ALL SELECT 'fact_profile', count(*), {r('sum(peak_index)', 2)}, 0 FROM p
+        UNION ALL SELECT 'fact_annual', count(*), {r('sum(flow)', 2)},
+            count(*) FILTER (WHERE year NOT BETWEEN 2000 AND 2100) FROM fa""",
+    "star_check": f"""WITH {HOURLY}, {ORDERS}, {ANNUAL},
+        q AS (SELECT user_id, hour, r_regionkey, CASE WHEN r_regionkey <> 3 THEN r_name END AS r_name,
+                  CASE WHEN user_id % 13 <> 0 THEN c_mktsegment END AS segment,
+                  CASE WHEN user_id % 17 = 0 THEN 2 ELSE {MAJOR} END AS flag,
+                  CASE WHEN user_id % 11 = 0 THEN -value ELSE value END AS v FROM h),
+        d AS (SELECT user_id, any_value(r_regionkey) AS r_regionkey, any_value(segment) AS segment,
+                  max(flag) AS flag FROM q GROUP BY user_id),
+        pr AS (SELECT user_id, hour, count(*) AS n, {r('avg(v)', 2)} AS mean FROM q GROUP BY user_id, hour),
+        pr2 AS (SELECT * FROM pr UNION ALL SELECT * FROM pr WHERE hour = 9),
+        fa AS (SELECT o_custkey, year, CASE WHEN o_custkey % 19 = 0 THEN -flow ELSE flow END AS flow
+               FROM af WHERE year BETWEEN 1990 AND 2100 AND o_custkey IN (SELECT user_id FROM d))
         SELECT 'dim_region' AS "table", 'key' AS rule, count(*) AS violations
-            FROM (SELECT r_regionkey FROM reg GROUP BY 1 HAVING count(*) > 1)
+            FROM (SELECT r_regionkey FROM q GROUP BY 1 HAVING count(DISTINCT r_name) > 1)
         UNION ALL SELECT 'dim_entity', 'key', count(*)
-            FROM (SELECT user_id FROM d2 GROUP BY 1 HAVING count(*) > 1)
+            FROM (SELECT user_id FROM d GROUP BY 1 HAVING count(*) > 1)
         UNION ALL SELECT 'fact_profile', 'key', count(*)
-            FROM (SELECT user_id, hour FROM p2 GROUP BY 1, 2 HAVING count(*) > 1)
+            FROM (SELECT user_id, hour FROM pr2 GROUP BY 1, 2 HAVING count(*) > 1)
         UNION ALL SELECT 'fact_annual', 'key', count(*)
-            FROM (SELECT o_custkey, year FROM af GROUP BY 1, 2 HAVING count(*) > 1)
-        UNION ALL SELECT 'dim_entity', 'known r_regionkey', count(*) FROM d2
-            WHERE r_regionkey NOT IN (SELECT r_regionkey FROM reg)
-        UNION ALL SELECT 'fact_profile', 'known user_id', count(*) FROM p2
-            WHERE user_id NOT IN (SELECT user_id FROM d2)
-        UNION ALL SELECT 'fact_annual', 'known user_id', count(*) FROM af
-            WHERE o_custkey NOT IN (SELECT user_id FROM d2)
-        UNION ALL SELECT 'dim_entity', 'flag in (0, 1)', count(*) FILTER (WHERE is_major NOT IN (0, 1)) FROM d2
-        UNION ALL SELECT 'fact_profile', 'slot in window', count(*) FILTER (WHERE hour NOT BETWEEN 7 AND 18) FROM p2
-        UNION ALL SELECT 'fact_profile', 'observations > 0', count(*) FILTER (WHERE observations <= 0) FROM p2
-        UNION ALL SELECT 'fact_profile', 'mean >= 0', count(*) FILTER (WHERE mean_measure < 0) FROM p2""",
+            FROM (SELECT o_custkey, year FROM fa GROUP BY 1, 2 HAVING count(*) > 1)
+        UNION ALL SELECT 'dim_entity', 'known r_regionkey', count(*) FROM d
+            WHERE r_regionkey NOT IN (SELECT r_regionkey FROM region)
+        UNION ALL SELECT 'fact_profile', 'known user_id', count(*) FROM pr2 WHERE user_id % 7 = 0
+        UNION ALL SELECT 'fact_annual', 'known user_id', count(*) FROM fa WHERE o_custkey % 7 = 0
+        UNION ALL SELECT 'dim_region', 'r_name not null', count(DISTINCT r_regionkey)
+            FILTER (WHERE r_name IS NULL) FROM q
+        UNION ALL SELECT 'dim_entity', 'c_mktsegment not null', count(*) FILTER (WHERE segment IS NULL) FROM d
+        UNION ALL SELECT 'dim_entity', 'is_major not null', count(*) FILTER (WHERE flag IS NULL) FROM d
+        UNION ALL SELECT 'dim_entity', 'flag in (0, 1)', count(*) FILTER (WHERE flag NOT IN (0, 1)) FROM d
+        UNION ALL SELECT 'fact_profile', 'user_id not null', count(*) FILTER (WHERE user_id IS NULL) FROM pr
+        UNION ALL SELECT 'fact_profile', 'hour not null', count(*) FILTER (WHERE hour IS NULL) FROM pr
+        UNION ALL SELECT 'fact_profile', 'observations not null', count(*) FILTER (WHERE n IS NULL) FROM pr
+        UNION ALL SELECT 'fact_profile', 'mean_measure not null', count(*) FILTER (WHERE mean IS NULL) FROM pr
+        UNION ALL SELECT 'fact_profile', 'slot in window', count(*) FILTER (WHERE hour NOT BETWEEN 7 AND 18) FROM pr
+        UNION ALL SELECT 'fact_profile', 'observations > 0', count(*) FILTER (WHERE n <= 0) FROM pr
+        UNION ALL SELECT 'fact_profile', 'mean >= 0', count(*) FILTER (WHERE mean < 0) FROM pr
+        UNION ALL SELECT 'fact_annual', 'user_id not null', count(*) FILTER (WHERE o_custkey IS NULL) FROM fa
+        UNION ALL SELECT 'fact_annual', 'year not null', count(*) FILTER (WHERE year IS NULL) FROM fa
+        UNION ALL SELECT 'fact_annual', 'year in range', count(*) FILTER (WHERE year NOT BETWEEN 2000 AND 2100) FROM fa
+        UNION ALL SELECT 'fact_annual', 'flow >= 0', count(*) FILTER (WHERE flow < 0) FROM fa""",
     "load_report": f"""WITH {STAR}, {ORDERS}, {ANNUAL}, d2 AS (SELECT * FROM d WHERE user_id % 7 <> 0)
         SELECT 'profile rows dropped' AS step, count(*) AS n_rows FROM h12
             WHERE user_id NOT IN (SELECT user_id FROM d2)
         UNION ALL SELECT 'annual rows dropped', count(*) FROM af
             WHERE o_custkey NOT IN (SELECT user_id FROM d2)
-        UNION ALL SELECT 'region keys null', count(*) FILTER (WHERE r_regionkey IS NULL) FROM d2""",
+        UNION ALL SELECT 'region keys repaired', count(*) FILTER (WHERE r_regionkey = 2) FROM d2""",
     "table_scale": " UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in b.TABLES
     ),
