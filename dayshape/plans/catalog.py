@@ -784,6 +784,21 @@ def feature_blocks(spark, sf_dir):
     return plain(both.select("block", "o_orderkey", "hist_mean", "hist_sd", "hist_periods"), 4)
 
 
+def _row_histories(spark, sf_dir, history: str) -> DataFrame:
+    train, _ = features.feature_blocks(b.orders(spark, sf_dir), YEARLY, PRIMARY, scratch(spark), history)
+    return plain(train.select("o_orderkey", "hist_mean", "hist_sd", "hist_periods"), 2)
+
+
+@query
+def history_earlier(spark, sf_dir):
+    return _row_histories(spark, sf_dir, "earlier")
+
+
+@query
+def history_others(spark, sf_dir):
+    return _row_histories(spark, sf_dir, "others")
+
+
 def _training_lines(spark, sf_dir) -> DataFrame:
     train, _ = features.feature_blocks(
         b.lines(spark, sf_dir), LINES, PRIMARY, scratch(spark)

@@ -552,6 +552,26 @@ ORACLES: dict[str, str] = {
         SELECT block, o_orderkey, {r('hist_mean', 4)} AS hist_mean, {r('hist_sd', 4)} AS hist_sd,
             hist_periods FROM ({attached('tr', "'train' AS block, b.*")}
             UNION ALL {attached('te', "'test' AS block, b.*")})""",
+    "history_earlier": f"""WITH {ORDERS}, tr AS (SELECT * FROM o WHERE year <= 1998),
+        t AS (SELECT o_orderkey, year, avg(o_totalprice) OVER w AS m,
+                coalesce(stddev_samp(o_totalprice) OVER w, 0) AS s, count(DISTINCT year) OVER w AS k
+              FROM tr WINDOW w AS (PARTITION BY o_custkey ORDER BY year
+                RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        c AS (SELECT y.year, avg(o_totalprice) AS m FROM (SELECT DISTINCT year FROM tr) y
+              LEFT JOIN tr ON tr.year < y.year GROUP BY y.year)
+        SELECT o_orderkey, {r('coalesce(t.m, c.m, 0)', 2)} AS hist_mean, {r('s', 2)} AS hist_sd,
+            k AS hist_periods FROM t JOIN c USING (year)""",
+    "history_others": f"""WITH {ORDERS}, tr AS (SELECT * FROM o WHERE year <= 1998),
+        {history('tr')}, e AS (SELECT count(*) AS n, sum(hist_mean) AS m, sum(hist_sd) AS s FROM hist),
+        t AS (SELECT *, avg(o_totalprice) OVER w AS own_m, stddev_samp(o_totalprice) OVER w AS own_s,
+                count(*) OVER w AS own_n, count(*) OVER (PARTITION BY o_custkey, year) AS here
+              FROM tr WINDOW w AS (PARTITION BY o_custkey ROWS BETWEEN UNBOUNDED PRECEDING
+                AND UNBOUNDED FOLLOWING EXCLUDE CURRENT ROW))
+        SELECT o_orderkey,
+            {r('coalesce(own_m, (e.m - hist.hist_mean) / (e.n - 1))', 2)} AS hist_mean,
+            {r('CASE WHEN own_n = 0 THEN e.s / (e.n - 1) ELSE coalesce(own_s, 0) END', 2)} AS hist_sd,
+            hist.hist_periods - CASE WHEN here = 1 THEN 1 ELSE 0 END AS hist_periods
+        FROM t JOIN hist USING (o_custkey) CROSS JOIN e""",
     "relative_target": f"""WITH {ORDERS}, tr AS (SELECT * FROM o WHERE year <= 1998),
         te AS (SELECT * FROM o WHERE year >= 2000), {history('tr')}
         SELECT o_orderkey, CASE WHEN hist_mean > 0 THEN {r('o_totalprice / hist_mean')} END

@@ -1,3 +1,6 @@
+import random
+import statistics
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +83,80 @@ def test_relative_target_is_free_of_the_level(yearly):
     spread = known.groupBy("count_point_id").agg(F.avg("relative_measure").alias("m")).agg(
         F.min("m"), F.max("m")).first()
     assert 1.0 < spread[0] <= spread[1] < 1.2
+
+
+@pytest.fixture(scope="module")
+def uneven(spark):
+    """Entities with one row, one period, gaps, repeated rows, nulls and values far from zero."""
+    rnd = random.Random(4)
+    data = [(i, f"E{rnd.randrange(12)}", rnd.choice([2001, 2002, 2005, 2007, 2024]), 10**7 + rnd.randrange(900) / 4)
+            for i in range(160)]
+    data += [(200, "ONCE", 2005, 5.0), (201, "LATE", 2024, 7.0), (202, "E1", 2005, None), (203, "NIL", 2005, None),
+             (204, "E2", None, 6.0), (205, None, 2002, 8.0), (206, None, 2005, 9.0)]
+    return spark.createDataFrame(data, "id int, count_point_id string, year int, all_motor_vehicles double"), data
+
+
+def near(found, wanted):
+    return all(a == b or abs(a - b) < 0.011 for a, b in zip(found, wanted, strict=True))
+
+
+def test_earlier_history_holds_only_periods_before(uneven):
+    df, data = uneven
+    train, test = features.feature_blocks(df, ROADS, PRIMARY, history="earlier")
+    seen = [d for d in data if d[2] is not None and d[2] <= 2019 and d[3] is not None]
+    rows = train.collect()
+    assert len(rows) == sum(1 for d in data if d[2] is not None and d[2] <= 2019)
+    for r in rows:
+        own = [d[3] for d in seen if d[1] == r["count_point_id"] and d[1] is not None and d[2] < r["year"]]
+        every = [d[3] for d in seen if d[2] < r["year"]]
+        mean = statistics.fmean(own) if own else statistics.fmean(every) if every else 0
+        periods = len({d[2] for d in seen if d[1] == r["count_point_id"] and d[1] is not None and d[2] < r["year"]})
+        spread = statistics.stdev(own) if len(own) > 1 else 0
+        assert near((r["hist_mean"], r["hist_sd"], r["hist_periods"]), (mean, spread, periods))
+    whole = features.feature_blocks(df, ROADS, PRIMARY)[1]
+    assert sorted(map(tuple, test.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+
+
+def test_history_of_others_leaves_the_row_out(uneven):
+    df, data = uneven
+    train, _ = features.feature_blocks(df, ROADS, PRIMARY, history="others")
+    rows = {r["id"]: r for r in train.collect()}
+    known = [d for d in data if d[2] is not None and d[2] <= 2019]
+    assert set(rows) == {d[0] for d in known}
+    means = {e: statistics.fmean([d[3] for d in known if d[1] == e and d[3] is not None])
+             for e in {d[1] for d in known if d[3] is not None}}
+    for d in known:
+        own = [o[3] for o in known if o[1] == d[1] and o[0] != d[0] and o[3] is not None]
+        found = rows[d[0]]
+        if own:
+            assert near((found["hist_mean"], found["hist_sd"]),
+                        (statistics.fmean(own), statistics.stdev(own) if len(own) > 1 else 0))
+        else:
+            rest = [m for e, m in means.items() if e != d[1]]
+            assert near([found["hist_mean"]], [statistics.fmean(rest)])
+        assert found["hist_periods"] == len({o[2] for o in known if o[1] == d[1] and o[0] != d[0] and o[3] is not None})
+
+
+def test_no_value_of_the_row_itself_or_of_later_ones_enters(uneven):
+    df, _ = uneven
+    when = df.where("id = 7").first()["year"]
+    for way, value in (("earlier", 1e12), ("others", 1e7 + 9000)):
+        column = F.when(F.col("id") == 7, value).otherwise(F.col("all_motor_vehicles"))
+        changed = df.withColumn("all_motor_vehicles", column)
+        before, after = (
+            {r["id"]: (r["hist_mean"], r["hist_sd"], r["hist_periods"], r["year"])
+             for r in features.feature_blocks(x, ROADS, PRIMARY, history=way)[0].collect()}
+            for x in (df, changed)
+        )
+        assert before.get(7) == after.get(7)
+        moved = {i for i in before if before[i] != after[i]}
+        assert 7 not in moved and moved
+        if way == "earlier":
+            assert all(before[i][3] > when for i in moved)
+    with pytest.raises(ValueError, match="history is one of"):
+        features.feature_blocks(df, ROADS, PRIMARY, history="mine")
+
+
+def test_histories_of_an_empty_block(spark, uneven):
+    for way in ("earlier", "others"):
+        assert features.feature_blocks(uneven[0].limit(0), ROADS, PRIMARY, history=way)[0].count() == 0
