@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
@@ -125,20 +126,38 @@ def component_identity(
     ).withColumn("share", F.when(F.col("n_rows") > 0, F.col("n_exact") / F.col("n_rows")))
 
 
+def exact_distinct(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (column, n_distinct), nulls left out.
+
+    Each row gives one (column, value) pair per column, and equal pairs are reduced in the task
+    that read them; several exact counts in one aggregate would copy every row whole, once per
+    column, before anything is reduced.
+    """
+
+    def text(name: str) -> Column:
+        kind = dict(df.dtypes)[name]
+        # The two zeros are one value.
+        return (F.col(name) + F.lit(0).cast(kind) if kind in ("double", "float") else F.col(name)).cast("string")
+
+    pairs = [F.struct(F.lit(c).alias("column"), text(c).alias("value")) for c in columns]
+    values = df.select(F.inline(F.array(*pairs))).distinct()
+    found = values.groupBy("column").agg(F.count("value").alias("n_distinct"))
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return names.join(found, "column", "left").select("column", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"))
+
+
 def cardinality(
     df: DataFrame, exact: Sequence[str] = (), approximate: Sequence[str] = (), rsd: float = 0.05
 ) -> DataFrame:
     """Distinct values per column; sketches for wide domains, exact counts for narrow ones."""
-    row = df.agg(
-        *[F.countDistinct(c).alias(f"exact {c}") for c in exact],
-        *[F.approx_count_distinct(c, rsd).alias(f"approximate {c}") for c in approximate],
-    )
-    labels = [f"exact {c}" for c in exact] + [f"approximate {c}" for c in approximate]
-    return _long(row, labels, "label", "n_distinct").select(
-        F.substring_index("label", " ", 1).alias("method"),
-        F.expr("substring(label, instr(label, ' ') + 1)").alias("column"),
-        "n_distinct",
-    )
+    parts = []
+    if exact:
+        parts.append(exact_distinct(df, exact).select(F.lit("exact").alias("method"), "column", "n_distinct"))
+    if approximate:
+        row = df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in approximate])
+        found = _long(row, approximate, "column", "n_distinct")
+        parts.append(found.select(F.lit("approximate").alias("method"), "column", "n_distinct"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def iqr_outliers(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:

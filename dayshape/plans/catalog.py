@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from dayshape import sources
 from dayshape.functions import half_up
-from dayshape.operators import clean, evaluate, features, models, profile, quality, reports, star
+from dayshape.operators import clean, evaluate, features, models, profile, quality, reports, sketches, star
 from dayshape.operators.planner import planner, rows_per_id
 from dayshape.plans import bindings as b
 from dayshape.plans.bindings import HOURLY, LINE_FEATURES, LINES, PRIMARY, SPLITS, YEARLY
@@ -215,9 +215,11 @@ def table_scale(spark, sf_dir):
 def prediction_sample(spark, sf_dir):
     train, test = features.feature_blocks(b.lines(spark, sf_dir), LINES, PRIMARY, scratch(spark))
     scored = evaluate.baseline_predictions(train, test, LINES, "primary")
+    cents = F.round(F.col("actual") * 100).cast("bigint")
+    picked = sources.smallest_hashes(scored, ["model", LINES.entity, LINES.slot, cents], 20_000)
     path = f"{scratch(spark)}/predictions.parquet"
-    sources.sample_rows(scored, target=20_000, seed=42).write.parquet(path)
-    return plain(spark.read.parquet(path))
+    picked.write.parquet(path)
+    return plain(spark.read.parquet(path), 4, exact=("actual",))
 
 
 @query
@@ -590,6 +592,44 @@ def iqr_outliers(spark, sf_dir):
     return plain(quality.iqr_outliers(b.events_clean(spark, sf_dir), "value"))
 
 
+SHARES = [0.05, 0.25, 0.5, 0.75, 0.9, 0.99]
+
+
+@query
+def kept_quantiles(spark, sf_dir):
+    """Quantiles per slot from sketches kept per day and slot, held against the whole fact."""
+    facts = b.events_clean(spark, sf_dir)
+    daily = sketches.sketch(facts, ["day", "hour"], ["value"])
+    kept = spark.read.parquet(sources.write_tables({"sketches": daily}, scratch(spark))["sketches"])
+    found = sketches.sketch_quantiles(sketches.merge(kept, ["hour"]), "value", SHARES, ["hour"])
+    gaps = sketches.rank_gap(facts, found, "value", ["hour"])
+    near = F.col("gap") <= sketches.rank_error()
+    return plain(gaps.select("hour", "share", near.cast("bigint").alias("near")))
+
+
+@query
+def kept_distinct(spark, sf_dir):
+    """Distinct counts of all days from sketches kept per day, against direct and exact ones."""
+    facts = b.hourly_clean(spark, sf_dir)
+    keys = ["user_id", "hour", "n_name"]
+    daily = sketches.sketch(facts, ["day"], keys=keys)
+    kept = spark.read.parquet(sources.write_tables({"sketches": daily}, scratch(spark))["sketches"])
+    merged = sketches.sketch_distinct(sketches.merge(kept), keys)
+    direct = sketches.sketch_distinct(sketches.sketch(facts, keys=keys), keys)
+    exact = quality.exact_distinct(facts, keys)
+    both = exact.join(merged.withColumnRenamed("n_distinct", "merged"), "column").join(
+        direct.withColumnRenamed("n_distinct", "direct"), "column"
+    )
+    far = F.abs(F.col("merged") - F.col("n_distinct")) / F.col("n_distinct")
+    # Five standard errors.
+    return both.select(
+        "column",
+        "n_distinct",
+        (F.col("merged") == F.col("direct")).cast("bigint").alias("same_merged"),
+        (far <= 5 * sketches.distinct_error()).cast("bigint").alias("near"),
+    )
+
+
 @query
 def mean_index_by_slot(spark, sf_dir):
     rows = profile.peak_index(b.events_clean(spark, sf_dir), HOURLY)

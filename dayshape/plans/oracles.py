@@ -293,6 +293,18 @@ ORACLES: dict[str, str] = {
     "table_scale": " UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in b.TABLES
     ),
+    "prediction_sample": f"""WITH {LINES}, tr AS (SELECT * FROM l WHERE year <= 1998),
+        hist AS (SELECT l_partkey, {r('avg(l_extendedprice)', 2)} AS hist_mean FROM tr GROUP BY l_partkey),
+        f AS (
+          SELECT l_partkey, month, p_type, l_extendedprice AS actual, unnest([
+              {{'model': 'global_mean', 'prediction': (SELECT avg(l_extendedprice) FROM tr)}},
+              {{'model': 'entity_history', 'prediction':
+                coalesce(hist_mean, (SELECT avg(hist_mean) FROM hist))}}]) AS made
+          FROM l LEFT JOIN hist USING (l_partkey) WHERE year >= 2000)
+        SELECT 'primary' AS split, made.model AS model, l_partkey, month, p_type, actual,
+            {r('made.prediction', 4)} AS prediction FROM f
+        ORDER BY md5(made.model || '|' || l_partkey || '|' || month || '|' || CAST(round(actual * 100) AS BIGINT))
+        LIMIT 20000""",
     "sql_slot_view": f"""WITH {EVENTS} SELECT hour, count(*) AS observations,
         {r('avg(value)', 1)} AS mean_measure, {r('avg(k)', 1)} AS mean_k FROM e12 GROUP BY hour""",
     # ---- projections, filters, predicates
@@ -444,6 +456,14 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'r_name', count(DISTINCT r_name), NULL FROM h12
         UNION ALL SELECT 'event_type', count(DISTINCT event_type), NULL FROM h12
         UNION ALL SELECT 'user_id', count(DISTINCT user_id), 1 FROM h12""",
+    "kept_quantiles": f"""WITH {EVENTS} SELECT hour, CAST(share AS DOUBLE) AS share, 1::BIGINT AS near
+        FROM (SELECT DISTINCT hour FROM e12) CROSS JOIN
+            (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.9, 0.99]) AS share)""",
+    "kept_distinct": f"""WITH {HOURLY}
+        SELECT 'user_id' AS "column", count(DISTINCT user_id) AS n_distinct, 1::BIGINT AS same_merged,
+            1::BIGINT AS near FROM h12
+        UNION ALL SELECT 'hour', count(DISTINCT hour), 1, 1 FROM h12
+        UNION ALL SELECT 'n_name', count(DISTINCT n_name), 1, 1 FROM h12""",
     "iqr_outliers": f"""WITH {EVENTS}, q AS (SELECT quantile_disc(value, 0.25) AS q1,
             quantile_disc(value, 0.75) AS q3 FROM e12),
         t AS (SELECT q1, q3, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high FROM q)

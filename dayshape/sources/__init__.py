@@ -4,6 +4,7 @@ from dayshape.sources.tables import (
     row_counts,
     sample_rows,
     scan_periods,
+    smallest_hashes,
     write_by_period,
     write_tables,
 )
@@ -14,6 +15,7 @@ __all__ = [
     "row_counts",
     "sample_rows",
     "scan_periods",
+    "smallest_hashes",
     "write_by_period",
     "write_tables",
 ]

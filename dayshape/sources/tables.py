@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -72,6 +72,23 @@ def sample_rows(df: DataFrame, target: int, seed: int) -> DataFrame:
     return df.where(F.rand(seed) * total.scalar() < target)
 
 
+def key_hash(keys: Sequence[str | Column]) -> Column:
+    """A hash of the keys as hexadecimal text, the same on every engine with MD5; null is empty."""
+    named = [F.col(k) if isinstance(k, str) else k for k in keys]
+    return F.md5(F.concat_ws("|", *[F.coalesce(k.cast("string"), F.lit("")) for k in named]).cast("binary"))
+
+
+def smallest_hashes(df: DataFrame, keys: Sequence[str | Column], size: int) -> DataFrame:
+    """A sample of exactly ``size`` rows (all, if fewer): those whose keys have the smallest hashes.
+
+    It depends on the keys alone, not on partitions, order or engine, and the sample of a union is
+    among the samples of its parts, so samples of new data can be merged into kept ones. Every task
+    keeps ``size`` rows at most. Rows with equal keys should be equal, or which of them is taken at
+    the edge is open.
+    """
+    return df.withColumn("__hash", key_hash(keys)).orderBy("__hash").limit(int(size)).drop("__hash")
+
+
 def register(df: DataFrame, view: str) -> None:
     """Make a table available to Spark SQL under a name."""
     df.createOrReplaceTempView(view)
