@@ -140,6 +140,8 @@ def _forecast_ctes() -> str:
 {name}_fit AS (
   SELECT regr_slope(o_totalprice, hist_mean) AS b1, regr_intercept(o_totalprice, hist_mean) AS b0,
          regr_slope(o_totalprice, month) AS c1, regr_intercept(o_totalprice, month) AS c0,
+         regr_slope(o_totalprice / hist_mean, month) AS d1,
+         regr_intercept(o_totalprice / hist_mean, month) AS d0,
          avg(o_totalprice) AS overall
   FROM {name}_train JOIN {name}_hist USING (o_custkey)),
 {name}_test AS (
@@ -164,6 +166,7 @@ FITTED = " UNION ALL ".join(
     [
         _rows("primary", "linear on hist_mean", "b0 + b1 * hist_mean"),
         _rows("primary", "linear on month", "c0 + c1 * month"),
+        _rows("primary", "relative line", "(d0 + d1 * month) * hist_mean"),
         _rows("control", "linear on hist_mean", "b0 + b1 * hist_mean"),
     ]
 )
@@ -554,6 +557,15 @@ ORACLES: dict[str, str] = {
     "notnull_violations": f"WITH {RAW} "
     + _quality_rows(("event_id", "value", "lat", "c_mktsegment"), "violations", False),
     "bound_params": f"WITH {ORDERS} {_bound_rows()}",
+    "fit_closed_form": f"""WITH {LINES}, t AS (SELECT l_quantity, l_extendedprice AS y,
+            CASE WHEN l_partkey % 31 <> 0 THEN l_returnflag END AS flag FROM l WHERE year <= 1998),
+        m AS (SELECT flag, avg(y) AS m FROM t GROUP BY flag), z AS (SELECT m FROM m WHERE flag IS NULL)
+        SELECT 'number' AS model, 'l_quantity' AS feature, CAST(NULL AS VARCHAR) AS category,
+            {r('regr_slope(y, l_quantity)', 4)} AS weight FROM t
+        UNION ALL SELECT 'number', 'intercept', NULL, {r('regr_intercept(y, l_quantity)', 4)} FROM t
+        UNION ALL SELECT 'category', 'intercept', NULL, {r('m', 4)} FROM z
+        UNION ALL SELECT 'category', 'l_returnflag', flag, {r('m.m - z.m', 4)} FROM m CROSS JOIN z
+            WHERE flag IS NOT NULL""",
     # ---- features
     "leakage_guard": f"""WITH {LINES}, t AS (SELECT corr(month, l_extendedprice) AS month,
             corr(l_quantity, l_extendedprice) AS l_quantity,
