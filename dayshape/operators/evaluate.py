@@ -77,37 +77,22 @@ def baseline_predictions(
 
 
 def trivial_baselines(train: DataFrame, test: DataFrame, spec: Spec, split: str) -> DataFrame:
-    """Scores of the two naive forecasts: one aggregate with both side by side."""
-    overall = train.agg(F.avg(spec.measure).alias("m")).scalar()
-    forecasts = {MEAN_BASELINE: overall, HISTORY_BASELINE: F.col("hist_mean")}
-    # Forecasts become columns first: an aggregate takes no subquery that is not deterministic,
-    # and the plan of a skewed join deals rows out by partition.
-    side_by_side = test.select(
-        F.col(spec.measure).cast("double").alias("actual"),
-        *[forecast.alias(name) for name, forecast in forecasts.items()],
-    )
-    sums = []
-    for name in forecasts:
-        error = F.col(name) - F.col("actual")
-        sums += [
-            F.avg(error * error).alias(f"{name}_mse"),
-            F.avg(F.abs(error)).alias(f"{name}_mae"),
-        ]
-    row = side_by_side.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.var_pop("actual").alias("variance"), *sums
-    )
-    lines = []
-    for name in forecasts:
-        found = _metrics(F.col(f"{name}_mse"), F.col(f"{name}_mae"), F.col("variance"))
-        lines.append(
-            F.struct(
-                F.lit(split).alias("split"),
-                F.lit(name).alias("model"),
-                F.col("n_rows"),
-                *[c.alias(n) for n, c in found.items()],
-            )
-        )
-    return row.select(F.inline(F.array(*lines)))
+    """Scores of the two naive forecasts, by the rules of every other score.
+
+    ``train`` may be the plain training rows: only the mean of their measure is taken.
+    """
+    return score(baseline_predictions(train, test, spec, split))
+
+
+def store_predictions(predictions: DataFrame, path: str) -> DataFrame:
+    """The long table with a folder per split and model: summaries read those they ask for.
+
+    Rows of one model are dealt out by adaptive execution, so a large model is many files.
+    """
+    predictions.hint("rebalance", *MODEL_KEYS).write.mode("overwrite").partitionBy(*MODEL_KEYS).parquet(path)
+    # Folder names are texts, whatever they look like.
+    schema = predictions.schema
+    return predictions.sparkSession.read.schema(schema).parquet(path).select(*predictions.columns)
 
 
 def results_table(*parts: DataFrame) -> DataFrame:

@@ -566,6 +566,14 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'category', 'intercept', NULL, {r('m', 4)} FROM z
         UNION ALL SELECT 'category', 'l_returnflag', flag, {r('m.m - z.m', 4)} FROM m CROSS JOIN z
             WHERE flag IS NOT NULL""",
+    "tune_forest": f"""WITH {LINES}, t AS (SELECT CAST(round(l_extendedprice * 100) AS BIGINT) AS c
+            FROM l WHERE year <= 1998),
+        s AS (SELECT CAST(floor(3 * (('0x' || substr(md5('fold|' || c), 1, 8))::BIGINT / 4294967296.0)) AS BIGINT) AS fold
+              FROM t WHERE ('0x' || substr(md5('sample|' || c), 1, 8))::BIGINT / 4294967296.0 < 0.2),
+        n AS (SELECT fold, count(*) AS n_test, sum(count(*)) OVER () AS total FROM s GROUP BY fold)
+        SELECT fold, trees::BIGINT AS trees, depth::BIGINT AS depth, CAST(total - n_test AS BIGINT) AS n_train,
+            n_test, 1::BIGINT AS scored
+        FROM n CROSS JOIN (SELECT unnest([20, 30]) AS trees) CROSS JOIN (SELECT unnest([6, 8]) AS depth)""",
     # ---- features
     "leakage_guard": f"""WITH {LINES}, t AS (SELECT corr(month, l_extendedprice) AS month,
             corr(l_quantity, l_extendedprice) AS l_quantity,
@@ -609,7 +617,7 @@ ORACLES: dict[str, str] = {
         SELECT o_orderkey, CASE WHEN hist_mean > 0 THEN {r('o_totalprice / hist_mean')} END
             AS relative_measure FROM ({attached('te')})""",
     # ---- evaluation
-    "score": f"{NAIVE_CTES} SELECT {SCORE_COLUMNS} FROM m",
+    "score": f"{MODEL_CTES} SELECT {SCORE_COLUMNS} FROM m",
     "trivial_baselines": f"{NAIVE_CTES} SELECT {SCORE_COLUMNS} FROM m",
     "results_table": f"{MODEL_CTES} SELECT {SCORE_COLUMNS} FROM m",
     "skill": f"""{MODEL_CTES} SELECT split, model, {r('r2 - base')} AS r2_gain,
@@ -619,18 +627,18 @@ ORACLES: dict[str, str] = {
             WHERE model NOT IN ('global_mean', 'entity_history'))
         SELECT split, model AS best_model, {r('r2')} AS best_r2, {r('base')} AS baseline_r2,
             {r('r2 - base')} AS added_r2, {r('1 - r2')} AS unexplained FROM w WHERE place = 1""",
-    "profile_actual_pred": f"""{NAIVE_CTES} SELECT split, model, month,
+    "profile_actual_pred": f"""{MODEL_CTES} SELECT split, model, month,
         {r('avg(actual)', 4)} AS mean_actual, {r('avg(prediction)', 4)} AS mean_prediction
         FROM f GROUP BY split, model, month""",
-    "residual_by_slot": f"""{NAIVE_CTES} SELECT split, model, month,
+    "residual_by_slot": f"""{MODEL_CTES} SELECT split, model, month,
         {r('avg(prediction - actual)', 4)} AS mean_residual,
         {r('stddev_samp(prediction - actual)', 4)} AS sd_residual, count(*) AS n_rows
         FROM f GROUP BY split, model, month""",
-    "error_by_class": f"""{NAIVE_CTES} SELECT split, model, c_mktsegment,
+    "error_by_class": f"""{MODEL_CTES} SELECT split, model, c_mktsegment,
         {r('avg(abs(prediction - actual))', 4)} AS mae, {r('avg(prediction - actual)', 4)} AS bias,
         {r('avg(actual)', 4)} AS mean_actual, count(*) AS n_rows
         FROM f GROUP BY split, model, c_mktsegment""",
-    "density_2d": f"""{NAIVE_CTES}, q AS (SELECT split, model, quantile_cont(actual, 0.995) AS lim
+    "density_2d": f"""{MODEL_CTES}, q AS (SELECT split, model, quantile_cont(actual, 0.995) AS lim
             FROM f GROUP BY split, model)
         SELECT split, model, CAST(CASE WHEN actual < 0 THEN -1 WHEN actual > lim THEN 45
                 ELSE least(floor(actual * 45 / lim), 44) END AS BIGINT) AS actual_cell,

@@ -1,4 +1,5 @@
 from dayshape.sources.tables import (
+    key_hash,
     read_named,
     register,
     row_counts,
@@ -10,6 +11,7 @@ from dayshape.sources.tables import (
 )
 
 __all__ = [
+    "key_hash",
     "read_named",
     "register",
     "row_counts",

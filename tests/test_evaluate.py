@@ -85,3 +85,23 @@ def test_density_counts_every_row(spark):
     beyond = cells.where("actual_cell = 45").agg(F.sum("n_rows")).first()[0]
     assert beyond == (actual > limit).sum()
     assert {r[0] for r in cells.where("actual_cell < 0 or actual_cell is null").select("actual_cell").collect()} == {-1, None}
+
+
+def test_stored_predictions_prune_and_keep_their_texts(spark, rows, tmp_path):
+    df = spark.createDataFrame(
+        [("1", "007", "E1", 8, "PA", 1.0, 2.0), ("1", "lin ear/on x", "E1", 8, "PA", 1.0, None), ("2", "007", "E2", 9, None, 3.0, 4.0)],
+        "split string, model string, count_point_id string, hour int, road_category string, actual double, prediction double")
+    kept = evaluate.store_predictions(df, str(tmp_path / "p"))
+    assert kept.schema == df.schema and rows(kept) == rows(df)
+    plan = kept.where("split = '1' and model = '007'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan
+
+
+def test_naive_scores_follow_the_rule_of_all_scores(spark):
+    train = spark.createDataFrame([(10.0,), (20.0,)], "all_motor_vehicles double")
+    test = spark.createDataFrame(
+        [("E1", 8, "PA", 12.0, 11.0), ("E1", 9, "PA", None, 11.0), ("E2", 8, "PA", 30.0, None)],
+        "count_point_id string, hour int, road_category string, all_motor_vehicles double, hist_mean double")
+    found = {r["model"]: r for r in evaluate.trivial_baselines(train, test, ROADS, "s").collect()}
+    assert found["global_mean"]["n_rows"] == 2 and found["global_mean"]["mae"] == 9.0
+    assert found["entity_history"]["n_rows"] == 1 and found["entity_history"]["mae"] == 1.0
