@@ -104,6 +104,12 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     )
 
 
+def null_profiles(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows and nulls of every column of every table (table, column, n_rows, nulls), one pass a table."""
+    parts = [null_profile(df).select(F.lit(name).alias("table"), "*") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def missing_by_class(df: DataFrame, klass: str, column: str) -> DataFrame:
     """Rows, missing values and their percentage per class."""
     absent = F.col(column).isNull()

@@ -548,8 +548,9 @@ def corr_with_measure(spark, sf_dir):
 
 @query
 def quality_profile(spark, sf_dir):
-    columns = ["event_id", "value", "lat", "day", "c_mktsegment", "k"]
-    return quality.null_profile(b.hourly_raw(spark, sf_dir), columns)
+    """Every column of every given table, and of the raw feed with its defects."""
+    tables = {n: b.table(spark, sf_dir, n) for n in b.TABLES}
+    return quality.null_profiles(tables | {"raw": b.hourly_raw(spark, sf_dir).drop("c_name", "r_regionkey")})
 
 
 @query

@@ -221,6 +221,15 @@ def _quality_rows(columns: tuple[str, ...], value: str, keep_rows: bool) -> str:
 
 
 
+def _null_rows() -> str:
+    raw = "event_id user_id year hour k c_mktsegment n_name r_name lon day event_type value lat"
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", count(*) AS n_rows, count(*) - count({c}) AS nulls FROM {t}"
+        for t, columns in {**b.COLUMNS, "raw": raw}.items()
+        for c in columns.split()
+    )
+
+
 def _bound_rows() -> str:
     quoted = ["'" + text.replace("'", "''") + "'" for text in b.HOSTILE]
     return " UNION ALL ".join(
@@ -441,8 +450,7 @@ ORACLES: dict[str, str] = {
     "corr_matrix": _matrix_sql(),
     "corr_with_measure": f"""WITH {LINES}
         SELECT feature AS "column", weight AS r FROM ({_corr_rows()})""",
-    "quality_profile": f"WITH {RAW} "
-    + _quality_rows(("event_id", "value", "lat", "day", "c_mktsegment", "k"), "nulls", True),
+    "quality_profile": f"WITH {RAW} " + _null_rows(),
     "missing_by_class": f"""WITH {YEARLY}, t AS (SELECT c_mktsegment,
             NOT (is_major = 1 OR o_orderkey % 5 = 0) AS absent FROM y)
         SELECT c_mktsegment, count(*) AS n_rows, count(*) FILTER (WHERE absent) AS n_null,

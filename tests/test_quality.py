@@ -69,3 +69,9 @@ def test_constraint_reports(spark, rows):
         child, {"small id": F.col("id") < 3, "known": F.col("parent") != "ghost"})
     assert rows(checks) == [("known", 1), ("small id", 1)]
     assert rows(quality.notnull_violations(child, ["id", "parent"])) == [("id", 1), ("parent", 1)]
+
+
+def test_null_profiles_cover_every_column_of_every_table(spark, rows):
+    one = spark.createDataFrame([(1, None, [1]), (2, "x", None)], "a int, b string, c array<int>")
+    found = rows(quality.null_profiles({"one": one, "none": one.limit(0).select("a")}), "table", "column", "n_rows", "nulls")
+    assert found == [("none", "a", 0, 0), ("one", "a", 2, 0), ("one", "b", 2, 1), ("one", "c", 2, 1)]

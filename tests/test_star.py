@@ -16,8 +16,8 @@ def small(spark):
                                    "region_id string, region_name string, entities bigint, "
                                    "authorities bigint")
     entity = spark.createDataFrame(
-        [("E1", "1", "L1", "A1", "PA", "Major", 1, 51.0, -1.0, 2000, 2020),
-         ("E2", None, "L2", "B2", "MB", "Minor", 0, None, None, 2001, 2002)],
+        [("E1", "1", "Wold", "Mill Way", "PA", "trunk", 1, 53.25, 0.75, 2004, 2018),
+         ("E2", None, "Fenby", "Reed Lane", "MB", "lane", 0, None, None, 2001, 2002)],
         "count_point_id string, region_id string, local_authority_name string, road_name string, "
         "road_category string, road_type string, is_major int, latitude double, "
         "longitude double, first_period int, last_period int")
@@ -33,7 +33,7 @@ def small(spark):
 
 def test_entity_profile_and_hostile_ids(small, rows):
     found = reports.entity_profile(small, ROADS, "E1")
-    assert rows(found) == [(11, 6, 711.0, 1.3, "L1", "PA"), (15, 6, 383.0, 0.7, "L1", "PA")]
+    assert rows(found) == [(11, 6, 711.0, 1.3, "Wold", "PA"), (15, 6, 383.0, 0.7, "Wold", "PA")]
     for text in [*HOSTILE, "nobody"]:
         assert reports.entity_profile(small, ROADS, text).count() == 0
     for text in ("1 or true", "0); select 1", "many"):
@@ -55,8 +55,8 @@ def test_class_peak_and_pivot(small, rows):
 
 def test_sharpest_orders_ties_by_entity(small):
     top = reports.sharpest(small, ROADS, ["road_name"], limit=2, min_observations=5)
-    assert [tuple(r) for r in top.collect()] == [("A1", 11, 1.3, 711.0, 6),
-                                                 ("B2", 9, 1.3, 20.0, 30)]
+    assert [tuple(r) for r in top.collect()] == [("Mill Way", 11, 1.3, 711.0, 6),
+                                                 ("Reed Lane", 9, 1.3, 20.0, 30)]
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
 
@@ -69,7 +69,7 @@ def test_trend_region_and_latest(small, rows):
     assert rows(reports.latest_period(small.annual, small.profile, ROADS, "flow")) == [
         (2001, 300.0, 2)]
     peaks = small.profile.groupBy("count_point_id").agg(F.max("peak_index").alias("max_peak_index"))
-    assert rows(reports.entity_peak_map(small, peaks, ROADS)) == [("E1", 51.0, -1.0, 1.3, 1)]
+    assert rows(reports.entity_peak_map(small, peaks, ROADS)) == [("E1", 53.25, 0.75, 1.3, 1)]
 
 
 def test_dedupe_is_stable_under_shuffling(spark, rows):
