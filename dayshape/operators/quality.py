@@ -45,13 +45,12 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], places: int = 6) -> DataF
     """Pearson correlations (left, right, r) over the rows where every column is known.
 
     All pairs share one aggregate of plain sums of products, which stays inside generated code
-    where one correlation function per pair would outgrow it. The sums are taken around the column
-    means, a scalar subquery, so nothing is lost to cancellation: two narrow passes in all,
-    whatever the number of columns.
+    where one correlation function per pair would outgrow it. The sums are taken around the values
+    of any one row, so little is lost to cancellation; that row is a scalar subquery which ends at
+    the first row found, so the table is read once, whatever the number of columns.
     """
     known = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in columns]).dropna()
-    means = ", ".join(f"avg(`{c}`) AS `{c}`" for c in columns)
-    near = known.agg(F.expr(f"struct({means})").alias("near")).scalar()
+    near = known.select(F.struct(*columns).alias("near")).limit(1).scalar()
     centred = known.select(*[(F.col(c) - near.getField(c)).alias(c) for c in columns])
     pairs = combinations_with_replacement(columns, 2)
     sums = centred.agg(

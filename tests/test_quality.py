@@ -44,6 +44,16 @@ def test_correlations_match_numpy_even_far_from_zero(spark):
     assert len(found) == 16
 
 
+def test_correlations_hold_with_means_far_beyond_the_spread(spark):
+    rng = np.random.default_rng(6)
+    steps = rng.integers(-50, 50, (2000, 2)) / 8
+    a, b = steps[:, 0], steps[:, 0] + steps[:, 1]
+    df = spark.createDataFrame([(float(4e9 + i), float(j - 4e9)) for i, j in zip(a, b)], "a double, b double")
+    found = {(r["left"], r["right"]): r["r"] for r in quality.corr_matrix(df, ["a", "b"]).collect()}
+    assert found["a", "b"] == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-6)
+    assert quality.corr_matrix(df.limit(0), ["a", "b"]).where("r is not null and left <> right").count() == 0
+
+
 def test_missing_values_and_identity(spark, rows):
     df = spark.createDataFrame(
         [("PA", 1.0, 3, 1, 2), ("MB", None, 5, None, 5), ("MB", None, 9, 4, 4)],
