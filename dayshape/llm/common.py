@@ -81,7 +81,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read back: its lineage ends there."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.stored_at = path
+    return found
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables made by stored() that nothing reads any more."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -93,7 +103,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     """
     both = edges.select("a", "b").where("a <> b")
     both = stored(both.unionAll(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), name)
-    roots = stored(both.groupBy(F.col("a").alias("id")).agg(F.min(F.least("a", "b")).alias("root")), name)
+    last = stored(both.groupBy(F.col("a").alias("id")).agg(F.min(F.least("a", "b")).alias("root")), name)
+    roots = last
     while True:
         near = (
             both.join(roots.withColumnRenamed("id", "b"), "b")
@@ -111,9 +122,11 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             .select("id", "root", F.least("best", "above").alias("next")),
             name,
         )
-        changed = after.where("next <> root").limit(1).count()
+        dropped(last)
+        last, changed = after, after.where("next <> root").limit(1).count()
         roots = after.select("id", F.col("next").alias("root"))
         if not changed:
+            dropped(both)
             return roots
 
 
@@ -122,15 +135,18 @@ def linked(
     fits: Callable[[str, str], str],
     confirm: Callable[[DataFrame], DataFrame],
     name: str,
+    rest: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(id, root) of the components that confirmed links between candidates make.
 
     members is (key, rep, size): rows with one key are candidates for links. fits(size, size) is a
     condition without which two can't be linked; confirm takes pairs (a, b) and returns the links
     among them. It runs in three rounds: in each bucket, all are held against the smallest; where
-    a bucket still spans several components, against the largest; then every fitting pair of
-    different components. Pairs within a component have nothing to add, so a bucket of near copies
-    costs about as many comparisons as it has rows.
+    a bucket still spans several components, against the largest; then fitting pairs of different
+    components. Pairs within a component have nothing to add, so a bucket of near copies costs
+    about as many comparisons as it has rows. For the last round, rest takes (rep, size, root) of
+    all members of buckets that are still open and returns the pairs to confirm; without it these
+    are all pairs of a bucket.
     """
 
     def against(center, rows: DataFrame) -> DataFrame:
@@ -151,19 +167,27 @@ def linked(
         return stored(rooted.join(ends.where("low < high").select("key"), "key", "left_semi"), f"{name}-open")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        return stored(confirm(stored(pairs, f"{name}-pairs")), f"{name}-links")
-
-    found = confirmed(against(F.min, members))
-    roots = components(found, f"{name}-roots")
-    found = found.unionAll(confirmed(against(F.max, spanning(roots))))
-    roots = components(found, f"{name}-roots")
-    open_ = spanning(roots)
-    other = open_.select("key", *(F.col(c).alias(f"{c}2") for c in ("rep", "size", "root")))
-    rest = (
-        open_.join(other, "key")
-        .where("root < root2")
-        .where(fits("size", "size2"))
-        .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b"))
-        .distinct()
-    )
-    return components(found.unionAll(confirmed(rest)), f"{name}-roots")
+        pairs = stored(pairs, f"{name}-pairs")
+        found = stored(confirm(pairs), f"{name}-links")
+        dropped(pairs)
+        return found
+
+    def all_pairs(rows: DataFrame) -> DataFrame:
+        other = rows.select("key", *(F.col(c).alias(f"{c}2") for c in ("rep", "size", "root")))
+        return (
+            rows.join(other, "key")
+            .where("root < root2")
+            .where(fits("size", "size2"))
+            .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b"))
+            .distinct()
+        )
+
+    first = confirmed(against(F.min, members))
+    open_ = spanning(components(first, f"{name}-roots"))
+    second = confirmed(against(F.max, open_))
+    dropped(open_)
+    open_ = spanning(components(first.unionAll(second), f"{name}-roots"))
+    third = confirmed(all_pairs(open_) if rest is None else rest(open_.select("rep", "size", "root").distinct()))
+    roots = components(first.unionAll(second).unionAll(third), f"{name}-roots")
+    dropped(open_, first, second, third)
+    return roots

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayshape.llm.common import batch_of, bytes_of, linked, mixed, spaced_words, stored
+from dayshape.llm.common import batch_of, bytes_of, dropped, linked, mixed, spaced_words, stored
 
 BAND_VALUES = 6  # values of a signature in one band
 MISSED = 1e-6  # chance that a pair right at the threshold shares no band
@@ -113,31 +113,33 @@ def by_slice(make) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
 
 
 def signatures(docs: DataFrame, shingle: int, bands: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, keys): size and digest of each row's set, and its bands."""
+    """(doc_id, print, n_shingles, digest, keys): size and digest of each row's set, and its bands."""
 
-    def make(ids: pa.Array, texts: list[bytes | None]) -> pa.RecordBatch:
+    def make(ids: pa.StructArray, texts: list[bytes | None]) -> pa.RecordBatch:
         sets = shingle_sets(texts, shingle)
         full = [x for x in sets if len(x)]
         rows = iter(band_keys(full, bands) if full else ())
         return batch_of(
-            doc_id=(pa.int64(), ids),
+            doc_id=(pa.int64(), ids.field("doc_id")),
+            print=(pa.int64(), ids.field("print")),
             n_shingles=(pa.int64(), [len(x) for x in sets]),
             digest=(pa.binary(), [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets]),
             keys=(pa.list_(pa.int64()), [next(rows) if len(x) else None for x in sets]),
         )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(by_slice(make), "doc_id long, n_shingles long, digest binary, keys array<long>")
+    return docs.select(F.struct("doc_id", "print").alias("of"), "text").mapInArrow(
+        by_slice(make), "doc_id long, print long, n_shingles long, digest binary, keys array<long>"
+    )
 
 
 def sets_of(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, shingles): the full set of each row as 64-bit hashes."""
+    """(digest, shingles): the full set of each row (digest, text) as 64-bit hashes."""
 
-    def make(ids: pa.Array, texts: list[bytes | None]) -> pa.RecordBatch:
+    def make(digests: pa.Array, texts: list[bytes | None]) -> pa.RecordBatch:
         found = [x.view(np.int64) for x in shingle_sets(texts, shingle)]
-        return batch_of(doc_id=(pa.int64(), ids), shingles=(pa.list_(pa.int64()), found))
+        return batch_of(digest=(pa.binary(), digests), shingles=(pa.list_(pa.int64()), found))
 
-    return docs.select("doc_id", "text").mapInArrow(by_slice(make), "doc_id long, shingles array<long>")
+    return docs.select("digest", "text").mapInArrow(by_slice(make), "digest binary, shingles array<long>")
 
 
 def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -149,54 +151,124 @@ def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.where(f"100 * same >= {percent} * (all - same)").select("a", "b")
 
 
-def near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): one row per row of docs.
-
-    A row's set holds the distinct runs of `shingle` lower-cased words; two rows are linked if
-    100 * intersection >= percent * union. component_id is the smallest doc_id that is reachable.
-    A row without words or text has an empty set and is linked with nothing. Rows with equal sets
-    are one class from the start, however many there are, and only their smallest doc_id goes on.
-    Rows that repeat a doc_id are each judged by their own text. A row without an id is linked with nothing: its
-    component_id is null and it is kept. An empty table gives an empty result.
+def prefix_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): a superset of the linked pairs among rows (rep, size, root) of different roots.
 
-    Classes with an equal band are candidates; linked() says how few of their pairs are compared.
+    Every set is ordered by how rare its shingles are among these rows. If two are linked, one of the
+    first size - ceil(2 * percent * size / (100 + percent)) + 1 shingles of the smaller is among the
+    first size - ceil(percent * size / 100) + 1 of the larger: shingles of its own, which near
+    copies below the threshold have many of, fill a prefix and meet nobody. Prefixes meet by pairs
+    of roots that share a shingle, so members of one component are never held against each other.
     """
+    longest = f"size - cast(ceil({percent} * size / 100) as int) + 1"
+    narrow = f"at < size - cast(ceil({2 * percent} * size / {100 + percent}) as int) + 1"
+    own = rows.join(sets.withColumnRenamed("digest", "rep"), "rep")
+    each = own.select("rep", F.explode("shingles").alias("shingle"))
+    seen = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    ranked = (
+        each.join(seen, "shingle", "left")
+        .groupBy("rep")
+        .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle"))).alias("ordered"))
+        .join(rows, "rep")
+    )
+    prefix = ranked.select("rep", "size", "root", F.posexplode(F.expr(f"slice(ordered, 1, {longest})")).alias("at", "item"))
+    entries = stored(
+        prefix.where("item.n > 1").select(
+            F.col("item.shingle").alias("shingle"), "root", "rep", "size", "at", F.expr(narrow).alias("narrow")
+        ),
+        "prefixes",
+    )
+    groups = entries.groupBy("shingle", "root").agg(F.max("narrow").alias("narrow"))
+    other = groups.toDF("shingle", "root2", "narrow2")
+    met = groups.join(other, "shingle").where("root < root2 and (narrow or narrow2)").select("shingle", "root", "root2")
+    ends = entries.toDF("shingle", "root2", "rep2", "size2", "at2", "narrow2")
+    # At a shared shingle, what stands before it in either set and the rest of both bound the intersection.
+    most = "least(at, at2) + 1 + least(size - at, size2 - at2) - 1"
+    return (
+        met.join(entries, ["shingle", "root"])
+        .join(ends, ["shingle", "root2"])
+        .where("case when size < size2 then narrow when size > size2 then narrow2 else narrow or narrow2 end")
+        .where(f"100 * least(size, size2) >= {percent} * greatest(size, size2)")
+        .where(f"{100 + percent} * ({most}) >= {percent} * (size + size2)")
+        .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b"))
+        .distinct()
+    )
+
+
+def with_print(docs: DataFrame) -> DataFrame:
+    """(doc_id, print, text): print tells rows of one id with different texts apart."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), text.alias("text"))
+
+
+def judged(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The rows of near_copies() and print, which names the text of a row within its doc_id."""
     bands = n_bands(percent / 100)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = with_print(docs)
     signed = stored(signatures(docs, shingle, bands), "signatures")
     with_set = signed.where("digest is not null and doc_id is not null")
     classes = with_set.groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("keys").alias("keys")
+        F.min(F.struct("doc_id", "print")).alias("first"), F.first("n_shingles").alias("size"), F.first("keys").alias("keys")
     )
-    entries = classes.select(F.explode("keys").alias("key"), "rep", "size")
+    entries = classes.select(F.explode("keys").alias("key"), F.col("digest").alias("rep"), "size")
     crowded = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = stored(entries.join(crowded, "key", "left_semi").distinct(), "buckets")
     # The full sets of all that have a candidate, read once for all rounds.
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = stored(sets_of(docs.join(wanted, "doc_id", "left_semi"), shingle), "shingles")
+    wanted = classes.select("first.*", "digest").join(
+        members.select(F.col("rep").alias("digest")).distinct(), "digest", "left_semi"
+    )
+    texts = docs.join(wanted, ["doc_id", "print"]).groupBy("doc_id", "print", "digest").agg(F.first("text").alias("text"))
+    sets = stored(sets_of(texts, shingle), "shingles")
     roots = linked(
         members,
         lambda one, two: f"100 * least({one}, {two}) >= {percent} * greatest({one}, {two})",
         lambda pairs: links(pairs, sets, percent),
         "near-copies",
+        lambda rows: prefix_pairs(rows, sets, percent),
     )
-    named = classes.select("digest", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
-    placed = signed.select("doc_id", "n_shingles", "digest").join(
-        named.select("digest", F.coalesce("root", "rep").alias("root")), "digest", "left"
-    )
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
+    dropped(members, sets)
+    ids = classes.select("digest", F.col("first.doc_id").alias("low"))
+    grouped = ids.join(roots.withColumnRenamed("id", "digest"), "digest")
+    lowest = grouped.groupBy("root").agg(F.min("low").alias("lowest"))
+    told = grouped.join(lowest, "root").select("digest", "lowest")
+    named = ids.join(told, "digest", "left").select("digest", F.coalesce("lowest", "low").alias("lowest"))
+    placed = signed.select("doc_id", "print", "n_shingles", "digest").join(named, "digest", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("lowest", "doc_id"))
     return placed.select(
         "doc_id",
+        "print",
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
 
 
+def near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept): one row per row of docs.
+
+    A row's set holds the distinct runs of `shingle` lower-cased words; two rows are linked if
+    100 * intersection >= percent * union. component_id is the smallest doc_id that is reachable.
+    A row without words or text has an empty set and is linked with nothing. Rows with equal sets
+    are one class from the start, however many there are, and only the class goes on.
+    Rows that repeat a doc_id are each judged by their own text. A row without an id is linked with nothing: its
+    component_id is null and it is kept. An empty table gives an empty result.
+
+    Classes with an equal band are candidates; linked() says how few of their pairs are compared, and
+    prefix_pairs() which are compared last.
+    """
+    return judged(docs, shingle, percent).drop("print")
+
+
 def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs that near_copies() keeps; all columns stay, and rows without an id too."""
-    gone = near_copies(docs, shingle, percent).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """The rows of docs that near_copies() keeps; all columns stay, and rows without an id too.
+
+    Of rows that repeat a doc_id with different texts, each stays or goes by its own text.
+    """
+    gone = judged(docs, shingle, percent).where("not kept").select("doc_id", "print").distinct()
+    gone = gone.toDF("gone_id", "gone_print")
+    text = docs["text"].cast("string")
+    same = (docs["doc_id"].cast("long") == gone["gone_id"]) & (F.xxhash64(text) == gone["gone_print"])
+    return docs.join(gone, same, "left_anti")
 
 
 def op3(spark, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:

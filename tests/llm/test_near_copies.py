@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from helpers import corpus, documents, lower, spaced, words
 
-from dayshape.llm.near_copies import band_keys, near_copies, one_of_each, shingle_sets
+from dayshape.llm.near_copies import band_keys, near_copies, one_of_each, prefix_pairs, shingle_sets
 
 
 def brute(texts, size, percent):
@@ -57,6 +57,46 @@ def test_hot_group_nulls_and_repeated_rows(spark):
     assert one_of_each(docs).count() == 4
 
 
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    rnd = random.Random(9)
+    one, two = " ".join(words(rnd, 50)), " ".join(words(rnd, 50))
+    docs = spark.createDataFrame([(1, one), (5, one), (5, two), (7, two)], "doc_id long, text string")
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_copies(docs, 3, 85).collect()}
+    assert got == {(1, 1, True), (5, 1, False), (5, 5, True), (7, 5, False)}
+    assert sorted(map(tuple, one_of_each(docs).collect())) == [(1, one), (5, two)]
+
+
+@pytest.mark.parametrize("changed", [3, 5, 6, 9])
+def test_copies_around_the_threshold_in_one_bucket(spark, rows, changed):
+    rnd = random.Random(changed)
+    text = words(rnd, 150)
+    texts = []
+    for i in range(60):  # edits at places and of a number of their own
+        own = [*text]
+        for at in rnd.sample(range(150), changed - i % 3):
+            own[at] = f"own{rnd.randrange(40)}"
+        texts.append(" ".join(own[: 150 - i % 4]))
+    assert rows(near_copies(documents(spark, texts), 3, 85)) == sorted(brute(texts, 3, 85), key=repr)
+
+
+def test_prefixes_meet_for_every_linked_pair(spark):
+    rnd = random.Random(2)
+    base = rnd.sample(range(10**6), 60)
+    sets = [sorted({*rnd.sample(base, rnd.randrange(40, 61)), *rnd.sample(range(10**6), rnd.randrange(0, 6))}) for _ in range(80)]
+    frame = spark.createDataFrame([(bytes([i]), x) for i, x in enumerate(sets)], "digest binary, shingles array<long>")
+    open_ = spark.createDataFrame(
+        [(bytes([i]), len(x), bytes([i - i % 2])) for i, x in enumerate(sets)], "rep binary, size long, root binary"
+    )
+    got = {(r.a[0], r.b[0]) for r in prefix_pairs(open_, frame, 85).collect()}
+    linked = {
+        (i, j)
+        for j, y in enumerate(sets)
+        for i, x in enumerate(sets[:j])
+        if i - i % 2 != j - j % 2 and 100 * len({*x} & {*y}) >= 85 * len({*x} | {*y})
+    }
+    assert linked and linked <= got
+
+
 def test_empty_table(spark):
     assert near_copies(documents(spark, ["x"]).limit(0)).count() == 0
 
