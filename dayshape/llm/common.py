@@ -139,29 +139,32 @@ def linked(
 ) -> DataFrame:
     """(id, root) of the components that confirmed links between candidates make.
 
-    members is (key, rep, size): rows with one key are candidates for links. fits(size, size) is a
-    condition without which two can't be linked; confirm takes pairs (a, b) and returns the links
-    among them. It runs in three rounds: in each bucket, all are held against the smallest; where
-    a bucket still spans several components, against the largest; then fitting pairs of different
+    members is (key, rep, size, weight): rows with one key are candidates for links, and those of a
+    high weight are likely to be linked with many others. fits(size, size) is a condition without
+    which two can't be linked; confirm takes pairs (a, b) and returns the links among them. It runs
+    in three rounds: in each bucket, all are held against the heaviest; where a bucket still spans
+    several components, against the heaviest outside that one's; then fitting pairs of different
     components. Pairs within a component have nothing to add, so a bucket of near copies costs
     about as many comparisons as it has rows. For the last round, rest takes (rep, size, root) of
     all members of buckets that are still open and returns the pairs to confirm; without it these
     are all pairs of a bucket.
     """
 
-    def against(center, rows: DataFrame) -> DataFrame:
-        centers = rows.groupBy("key").agg(center(F.struct("rep", "size")).alias("c"))
+    def against(rows: DataFrame, centers: DataFrame) -> DataFrame:
         return (
             rows.join(centers, "key")
-            .where("rep <> c.rep")
+            .where("root <> c.root")
             .where(fits("size", "c.size"))
             .select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b"))
             .distinct()
         )
 
+    def heaviest(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("key").agg(F.max(F.struct("weight", "rep", "size", "root")).alias("c"))
+
     def spanning(roots: DataFrame) -> DataFrame:
         rooted = members.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select(
-            "key", "rep", "size", F.coalesce("root", "rep").alias("root")
+            "key", "rep", "size", "weight", F.coalesce("root", "rep").alias("root")
         )
         ends = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         return stored(rooted.join(ends.where("low < high").select("key"), "key", "left_semi"), f"{name}-open")
@@ -182,9 +185,11 @@ def linked(
             .distinct()
         )
 
-    first = confirmed(against(F.min, members))
+    alone = members.withColumn("root", F.col("rep"))
+    first = confirmed(against(alone, heaviest(alone)))
     open_ = spanning(components(first, f"{name}-roots"))
-    second = confirmed(against(F.max, open_))
+    outside = open_.join(heaviest(open_), "key").where("root <> c.root").drop("c")
+    second = confirmed(against(open_, heaviest(outside)))
     dropped(open_)
     open_ = spanning(components(first.unionAll(second), f"{name}-roots"))
     third = confirmed(all_pairs(open_) if rest is None else rest(open_.select("rep", "size", "root").distinct()))

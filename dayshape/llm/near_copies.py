@@ -211,8 +211,12 @@ def judged(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         F.min(F.struct("doc_id", "print")).alias("first"), F.first("n_shingles").alias("size"), F.first("keys").alias("keys")
     )
     entries = classes.select(F.explode("keys").alias("key"), F.col("digest").alias("rep"), "size")
-    crowded = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = stored(entries.join(crowded, "key", "left_semi").distinct(), "buckets")
+    crowded = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(entries.join(crowded, "key"), "buckets")
+    # What shares bands with the most others is least edited.
+    weights = shared.groupBy("rep").agg(F.sum("n").alias("weight"))
+    members = stored(shared.join(weights, "rep").select("key", "rep", "size", "weight").distinct(), "buckets")
+    dropped(shared)
     # The full sets of all that have a candidate, read once for all rounds.
     wanted = classes.select("first.*", "digest").join(
         members.select(F.col("rep").alias("digest")).distinct(), "digest", "left_semi"
