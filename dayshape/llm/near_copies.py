@@ -154,14 +154,13 @@ def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def prefix_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): a superset of the linked pairs among rows (rep, size, root) of different roots.
 
-    Every set is ordered by how rare its shingles are among these rows. If two are linked, one of the
-    first size - ceil(2 * percent * size / (100 + percent)) + 1 shingles of the smaller is among the
-    first size - ceil(percent * size / 100) + 1 of the larger: shingles of its own, which near
-    copies below the threshold have many of, fill a prefix and meet nobody. Prefixes meet by pairs
-    of roots that share a shingle, so members of one component are never held against each other.
+    Every set is ordered by how rare its shingles are among these rows. If two are linked, both have
+    as many shingles from their first common one on as the intersection needs: shingles of its
+    own, which near copies below the threshold have many of, come first and meet nobody. Sets meet by
+    pairs of roots that share such a shingle, so members of one component are never held against
+    each other.
     """
     longest = f"size - cast(ceil({percent} * size / 100) as int) + 1"
-    narrow = f"at < size - cast(ceil({2 * percent} * size / {100 + percent}) as int) + 1"
     own = rows.join(sets.withColumnRenamed("digest", "rep"), "rep")
     each = own.select("rep", F.explode("shingles").alias("shingle"))
     seen = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
@@ -174,22 +173,29 @@ def prefix_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     prefix = ranked.select("rep", "size", "root", F.posexplode(F.expr(f"slice(ordered, 1, {longest})")).alias("at", "item"))
     entries = stored(
         prefix.where("item.n > 1").select(
-            F.col("item.shingle").alias("shingle"), "root", "rep", "size", "at", F.expr(narrow).alias("narrow")
+            F.col("item.shingle").alias("shingle"), "root", "rep", "size", F.expr("size - at").alias("left")
         ),
         "prefixes",
     )
-    groups = entries.groupBy("shingle", "root").agg(F.max("narrow").alias("narrow"))
-    other = groups.toDF("shingle", "root2", "narrow2")
-    met = groups.join(other, "shingle").where("root < root2 and (narrow or narrow2)").select("shingle", "root", "root2")
-    ends = entries.toDF("shingle", "root2", "rep2", "size2", "at2", "narrow2")
-    # At a shared shingle, what stands before it in either set and the rest of both bound the intersection.
-    most = "least(at, at2) + 1 + least(size - at, size2 - at2) - 1"
+
+    def enough(left: str, size: str, left2: str, size2: str) -> str:
+        return f"{100 + percent} * least({left}, {left2}) >= {percent} * ({size} + {size2})"
+
+    # The best that any member of a root offers at a shingle.
+    groups = entries.groupBy("shingle", "root").agg(
+        F.max("left").alias("best"), F.min("size").alias("low"), F.max("size").alias("high")
+    )
+    other = groups.toDF("shingle", "root2", "best2", "low2", "high2")
+    met = groups.join(other, "shingle").where("root < root2").where(enough("best", "low", "best2", "low2"))
+    met = met.select("shingle", "root", "root2", "best2", "low2", "high2")
+    ends = entries.toDF("shingle", "root2", "rep2", "size2", "left2")
     return (
         met.join(entries, ["shingle", "root"])
+        .where(enough("left", "size", "best2", "low2"))
+        .where(f"100 * high2 >= {percent} * size and 100 * size >= {percent} * low2")
         .join(ends, ["shingle", "root2"])
-        .where("case when size < size2 then narrow when size > size2 then narrow2 else narrow or narrow2 end")
+        .where(enough("left", "size", "left2", "size2"))
         .where(f"100 * least(size, size2) >= {percent} * greatest(size, size2)")
-        .where(f"{100 + percent} * ({most}) >= {percent} * (size + size2)")
         .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b"))
         .distinct()
     )
