@@ -65,13 +65,13 @@ class WordIds:
         return [out[word] for word in words]
 
     def encoded(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def learn(self, words: set[str]) -> None:
         """Remembers new words; behind plain letters, a full stop or comma is a piece of its own."""
         known = self.known
         stems = {w: w[:-1] for w in words if w[-1] in ".," and LETTERS(w[:-1])}
-        new = [*{*(w for w in words if w not in stems), *stems.values()} - known.keys()]
+        new = [w for w in {*(w for w in words if w not in stems), *stems.values()} if w not in known]
         known.update(zip(new, self.made(new), strict=True))
         for word, stem in stems.items():
             known[word] = known[stem] + self.marks[word[-1]]
@@ -84,7 +84,7 @@ class WordIds:
             split = [(x or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for x in some]
             if len(self.known) >= KNOWN_WORDS:
                 self.known = {"": b""}
-            new = set().union(*split) - self.known.keys()
+            new = {w for w in set().union(*split) if w not in self.known}
             if new:
                 self.learn(new)
             out += [b"".join(map(self.known.__getitem__, words)) for words in split]
