@@ -22,12 +22,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayshape.llm.common import batch_of, by_batch, bytes_of, mixed, spaced_words, stored
-from dayshape.llm.near_copies import HASHES
+from dayshape.llm.common import batch_of, by_batch, bytes_of, dropped, mixed, spaced_words, stored
 from dayshape.llm.suffixes import suffix_array
 
 ANCHOR_WORDS = 4
 ANCHOR_BITS = 48  # of an anchor's hash; another anchor of the same hash only costs time
+GROUP_BYTES = 1 << 20  # of texts that are hashed together
+ODD = 0x9E3779B97F4A7C15  # base of the hashes of words
 SHARD_WORDS = 300_000  # words of distinct runs in one index; the runs of an anchor stay together
 HEAVY_WORDS = 30_000  # words of distinct runs of one anchor that may go to a shard
 
@@ -92,45 +93,109 @@ def first_documents(runs: list[list[bytes]], docs: np.ndarray, window: int) -> l
     return np.split(first[which], np.cumsum(counts)[:-1])
 
 
-def anchors(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each window the place of its anchor, and the hashes of all short sequences."""
-    flat = np.fromiter((HASHES[w] for w in words), np.int64, len(words)).view(np.uint64)
-    n = len(flat) - ANCHOR_WORDS + 1
+class Powers:
+    """Powers of an odd number and of its inverse modulo 2^64, as many as were asked for."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def first(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            self.up, self.down = (
+                np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, x, np.uint64)]))
+                for x in (ODD, pow(ODD, -1, 1 << 64))
+            )
+        return self.up[:n], self.down[:n]
+
+
+POWERS = Powers()
+
+
+def word_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A polynomial hash of each word's bytes, from differences of one running sum."""
+    up, down = POWERS.first(len(flat))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * up)])
+    return mixed((sums[ends] - sums[starts]) * down[starts])
+
+
+def anchor_runs(texts: list[bytes], window: int) -> tuple[np.ndarray, ...]:
+    """(text, first, anchor, begin, end) of the runs of neighbouring windows with one anchor, in order.
+
+    texts are words joined by single spaces; first is a run's first window, begin and end are its
+    bytes in the text. All texts are hashed as one row of words; the least hash of a window comes
+    from those of halves. The lowest bits of a hash are its place, so that a run ends where the
+    place changes.
+    """
+    sizes = np.array([x.count(b" ") + 1 if x else 0 for x in texts])
+    counts = np.maximum(sizes - window + 1, 0)
+    if not counts.sum():
+        return (np.zeros(0, np.int64),) * 5
+    flat = np.frombuffer(b" ".join([x for x in texts if x]) + b" ", np.uint8)
+    ends = np.flatnonzero(flat == 32)
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    words = word_hashes(flat, starts, ends)
+    n = len(words) - ANCHOR_WORDS + 1
     rolled = np.zeros(n, np.uint64)
     for k in range(ANCHOR_WORDS):
-        rolled = mixed(rolled + flat[k : k + n] + np.uint64(k + 1))
-    width = window - ANCHOR_WORDS + 1
-    least, place = rolled[: n - width + 1].copy(), np.arange(n - width + 1)
-    for k in range(1, width):
-        other = rolled[k : n - width + 1 + k]
-        lower = other < least
-        least[lower] = other[lower]
-        place[lower] = np.flatnonzero(lower) + k
-    return place, (rolled >> np.uint64(64 - ANCHOR_BITS)).view(np.int64)
+        rolled = mixed(rolled + words[k : k + n] + np.uint64(k + 1))
+    spare = np.uint64(64 - ANCHOR_BITS)
+    least = (rolled >> spare << spare) | (np.arange(n, dtype=np.uint64) & ((np.uint64(1) << spare) - np.uint64(1)))
+    width, span = window - ANCHOR_WORDS + 1, 1
+    while span < width:
+        step = min(span, width - span)
+        least = np.minimum(least[:-step], least[step:])
+        span += step
+    begins = np.cumsum(sizes) - sizes
+    text = np.repeat(np.arange(len(texts)), counts)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = begins[text] + nth
+    own = least[at]
+    first = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (text[1:] != text[:-1])]))
+    last = np.concatenate([first[1:], [len(text)]]) - 1
+    of = text[first]
+    zero = starts[begins[of]]
+    begin, end = starts[at[first]] - zero, ends[at[last] + window - 1] - zero
+    return of, nth[first], (own[first] >> spare).view(np.int64), begin, end
+
+
+def in_groups(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts, words joined by single spaces, in groups of about GROUP_BYTES; with the number of a group's first."""
+    begin, group, size = 0, [], 0
+    for text in texts:
+        group.append(b" ".join(spaced_words(text)))
+        size += len(group[-1])
+        if size >= GROUP_BYTES or len(group) == 10_000:
+            yield begin, group
+            begin, group, size = begin + len(group), [], 0
+    if group:
+        yield begin, group
 
 
 def overview(docs: DataFrame, window: int) -> DataFrame:
     """(doc_id, n_words, digest, sha, anchors): size and digests of each row, and its anchors."""
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, digests, shas, found = [], [], [], []
-        for text in bytes_of(batch.column(1)):
-            words = spaced_words(text)
-            joined = b" ".join(words)
-            sizes.append(len(words))
-            digests.append(xxhash.xxh3_128_digest(joined))
-            shas.append(hashlib.sha256(joined).digest())
-            if len(words) < window:
-                found.append(None)
-            else:
-                place, hashes = anchors(words, window)
-                found.append(np.unique(hashes[np.unique(place)]))
-        return batch_of(
-            doc_id=(pa.int64(), batch.column(0)),
-            n_words=(pa.int64(), sizes),
-            digest=(pa.binary(), digests),
-            sha=(pa.binary(), shas),
-            anchors=(pa.list_(pa.int64()), found),
+        sizes, digests, shas, counts, found = [], [], [], [], []
+        for _, texts in in_groups(bytes_of(batch.column(1))):
+            for joined in texts:
+                sizes.append(joined.count(b" ") + 1 if joined else 0)
+                digests.append(xxhash.xxh3_128_digest(joined))
+                shas.append(hashlib.sha256(joined).digest())
+            text, _, anchor, *_ = anchor_runs(texts, window)
+            own = np.unique(text << ANCHOR_BITS | anchor)
+            counts.append(np.bincount(own >> ANCHOR_BITS, minlength=len(texts)))
+            found.append(own & ((1 << ANCHOR_BITS) - 1))
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
+        anchors = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                pa.array(sizes, pa.int64()),
+                pa.array(digests, pa.binary()),
+                pa.array(shas, pa.binary()),
+                anchors,
+            ],
+            names=["doc_id", "n_words", "digest", "sha", "anchors"],
         )
 
     return docs.mapInArrow(
@@ -145,32 +210,28 @@ def runs_of(docs: DataFrame, window: int, whole: bool = True) -> DataFrame:
     """
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, starts, names, digests, texts = [], [], [], [], []
-        shared = batch.column(2).to_pylist()
-        for doc, text, own in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1)), shared, strict=True):
-            words = spaced_words(text)
-            if len(words) < window:
-                continue
-            place, hashes = anchors(words, window)
-            first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-            last = np.concatenate([first[1:], [len(place)]]) - 1
-            name = hashes[place[first]]
-            wanted = np.isin(name, np.array(own, np.int64))
-            for a, b, anchor in zip(
-                first[wanted].tolist(), last[wanted].tolist(), name[wanted].tolist(), strict=True
-            ):
-                ids.append(doc)
-                starts.append(a)
+        ids, starts, names, digests, runs = [], [], [], [], []
+        docs = batch.column(0).to_pylist()
+        shared = batch.column(2)
+        own = np.repeat(np.arange(len(shared)), shared.value_lengths().fill_null(0).to_numpy())
+        own = own << ANCHOR_BITS | shared.flatten().to_numpy()
+        for begin, texts in in_groups(bytes_of(batch.column(1))):
+            found = anchor_runs(texts, window)
+            wanted = np.isin(found[0] + begin << ANCHOR_BITS | found[2], own)
+            for k, first, anchor, a, b in zip(*(column[wanted].tolist() for column in found), strict=True):
+                ids.append(docs[begin + k])
+                starts.append(first)
                 names.append(anchor)
-                run = b" ".join(words[a : b + window])
+                run = texts[k][a:b]
                 digests.append(xxhash.xxh3_128_digest(run))
-                texts.append(run if whole else None)
+                if whole:
+                    runs.append(run)
         return batch_of(
             doc_id=(pa.int64(), ids),
             start=(pa.int32(), starts),
             anchor=(pa.int64(), names),
             digest=(pa.binary(), digests),
-            run=(pa.binary(), texts),
+            run=(pa.binary(), runs if whole else [None] * len(ids)),
         )
 
     return docs.mapInArrow(by_batch(make), "doc_id long, start int, anchor long, digest binary, run binary")
@@ -238,6 +299,7 @@ def earlier_windows(docs: DataFrame, window: int) -> DataFrame:
     )
     # Runs with a window that some document which has them isn't the first to have.
     firsts = stored(firsts.where("array_min(firsts) < last").select("digest", "firsts"), "first-documents")
+    dropped(distinct)
     at = "filter(transform(firsts, (f, i) -> if(f < doc_id, start + i, null)), x -> x is not null)"
     places = runs_of(docs, window, whole=False).select("doc_id", "start", "digest")
     return places.join(firsts, "digest").select("doc_id", F.expr(at).alias("at")).where("size(at) > 0")
@@ -251,20 +313,25 @@ def repeated_spans(docs: DataFrame, window: int = 13) -> tuple[DataFrame, DataFr
     first words of the other rows' windows that also start in a row with a smaller doc_id.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    seen = stored(overview(docs, window), "overview")
+    anchored = stored(overview(docs, window), "anchors")
+    seen = stored(anchored.drop("anchors"), "overview")
     firsts = seen.where("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("first"))
-    marked = seen.join(firsts, "digest", "left").withColumn(
-        "copy", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
-    )
-    own = marked.where("doc_id is not null and not copy").select("doc_id", F.explode("anchors").alias("anchor"))
+
+    def with_copies(rows: DataFrame) -> DataFrame:
+        copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
+        return rows.join(firsts, "digest", "left").withColumn("copy", copy)
+
+    own = with_copies(anchored).where("doc_id is not null and not copy")
+    own = own.select("doc_id", F.explode("anchors").alias("anchor"))
     shared = own.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     wanted = own.join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_list("anchor").alias("shared"))
     texts = stored(docs.join(wanted, "doc_id").select("doc_id", "text", "shared"), "shared-texts")
+    dropped(anchored)
     places = earlier_windows(texts, window).groupBy("doc_id").agg(
         F.flatten(F.collect_list("at")).alias("places")
     )
     found = texts.select("doc_id", "text").join(places, "doc_id")
-    return marked.select("doc_id", "n_words", "digest", "sha", "copy"), found
+    return with_copies(seen).select("doc_id", "n_words", "digest", "sha", "copy"), found
 
 
 def without_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
