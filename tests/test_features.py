@@ -1,10 +1,12 @@
 import random
+import re
 import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from dayshape.operators import clean, features
+from dayshape.plans import bindings, catalog
 from dayshape.presets import CONTROL, PRIMARY, ROAD_FEATURES, ROADS
 from dayshape.spec import FeatureSet
 
@@ -160,3 +162,18 @@ def test_no_value_of_the_row_itself_or_of_later_ones_enters(uneven):
 def test_histories_of_an_empty_block(spark, uneven):
     for way in ("earlier", "others"):
         assert features.feature_blocks(uneven[0].limit(0), ROADS, PRIMARY, history=way)[0].count() == 0
+
+
+def test_history_and_customers_never_pass_the_driver(spark, yearly):
+    def plan_of(df):
+        return df._jdf.queryExecution().toString()
+
+    train, test = features.feature_blocks(yearly, ROADS, PRIMARY)
+    for block in (train, test):
+        assert "SortMergeJoin" in plan_of(block) and "BroadcastHashJoin" not in plan_of(block)
+    sf = "/root/testdata/sf0.001"
+    for facts, key in ((bindings.yearly(spark, sf), "o_custkey"), (bindings.hourly(spark, sf), "user_id")):
+        assert re.search(rf"SortMergeJoin \[{key}#", plan_of(facts))
+        assert not re.search(rf"BroadcastHashJoin \[{key}#", plan_of(facts))
+    stored = catalog._stored_blocks(spark, sf, bindings.PRIMARY)
+    assert all("Join" not in plan_of(block) for block in stored)
