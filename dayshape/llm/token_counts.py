@@ -112,15 +112,15 @@ class PrefixCounter:
         counts, last = [0], [""]
         backwards, apart = self.backwards, self.apart
         for end in range(1, len(chunk) + 1):
-            node, start, ending = backwards, end, []
+            node, start = backwards, end
             while start:
                 node = node.get(chunk[start - 1])
                 if node is None:
                     break
                 start -= 1
-                if "" in node:
-                    ending.append((start, node[""]))
-            for start, piece in ending:
+                piece = node.get("")
+                if piece is None:
+                    continue
                 before = last[start]
                 after = apart.get(before)
                 if after is None:
@@ -128,11 +128,11 @@ class PrefixCounter:
                 fits = after.get(piece)
                 if fits is None:
                     fits = after[piece] = self.stays(before, piece)
-                if fits:
+                if fits:  # no other piece does, so longer ones needn't be looked for
                     counts.append(counts[start] + 1)
                     last.append(piece)
                     break
-            else:  # an unknown character falls back to its bytes
+            if len(counts) == end:  # an unknown character falls back to its bytes
                 counts.append(counts[end - 1] + len(chunk[end - 1].encode()))
                 last.append(chunk[end - 1])
         return counts
@@ -141,7 +141,7 @@ class PrefixCounter:
         """A chunk's count, and by how much each of its characters changes it (signed bytes)."""
         if (found := self.known.get(chunk)) is None:
             counts = self.worked_out(chunk)
-            found = counts[-1], np.diff(counts).astype(np.int8).tobytes()
+            found = counts[-1], bytes([(b - a) & 255 for a, b in zip(counts, counts[1:])])
             if len(chunk) <= KNOWN_LENGTH:
                 if len(self.known) >= KNOWN_CHUNKS:
                     self.known.clear()

@@ -3,7 +3,7 @@ import random
 import public_tokenizers
 from helpers import corpus, documents
 
-from dayshape.llm.token_counts import counter, counts_at, prefix_counts, truncated
+from dayshape.llm.token_counts import PrefixCounter, counter, counts_at, prefix_counts, truncated
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 ODD = ["", " ", "   a", "\n\n  a", "a" + " " * 50 + "b", "▁ ▁x", "<s> </s> <unk> <0x41>", "\x00 y", "😀😀 ﬁ é", "x" * 300, "日本語テスト 　"]
@@ -44,3 +44,26 @@ def test_truncation_without_encoding_again(spark):
 def test_repeated_rows_and_null_ids(spark):
     docs = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b c")], "doc_id long, text string")
     assert sorted((r.doc_id or -1, r.n_tokens) for r in prefix_counts(docs, PATH).collect()) == [(-1, 2), (1, 1), (1, 1)]
+
+
+def test_no_piece_is_looked_for_behind_the_one_that_fits():
+    class Node(dict):
+        def get(self, key, default=None):
+            visits.append(key)
+            return super().get(key, default)
+
+    def watched(node):
+        return Node({k: v if k == "" else watched(v) for k, v in node.items()})
+
+    visits, chunk = [], "▁uncharacteristically"
+    own = PrefixCounter(PATH)
+    whole = 0  # steps of walks to the end of every branch
+    for end in range(1, len(chunk) + 1):
+        node = own.backwards
+        for char in reversed(chunk[:end]):
+            whole += 1
+            if (node := node.get(char)) is None:
+                break
+    own.backwards = watched(own.backwards)
+    assert own.worked_out(chunk)[-1] == len(own.library.encode(chunk[1:]))
+    assert len([v for v in visits if v]) < whole
