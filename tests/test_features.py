@@ -168,12 +168,14 @@ def test_history_and_customers_never_pass_the_driver(spark, yearly):
     def plan_of(df):
         return df._jdf.queryExecution().toString()
 
-    train, test = features.feature_blocks(yearly, ROADS, PRIMARY)
-    for block in (train, test):
+    blocks = features.feature_blocks(yearly, ROADS, PRIMARY, join="merge")
+    for block in blocks:
         assert "SortMergeJoin" in plan_of(block) and "BroadcastHashJoin" not in plan_of(block)
     sf = "/root/testdata/sf0.001"
     for facts, key in ((bindings.yearly(spark, sf), "o_custkey"), (bindings.hourly(spark, sf), "user_id")):
         assert re.search(rf"SortMergeJoin \[{key}#", plan_of(facts))
         assert not re.search(rf"BroadcastHashJoin \[{key}#", plan_of(facts))
+    for block in catalog._blocks(spark, sf, bindings.PRIMARY):
+        assert not re.search(r"BroadcastHashJoin \[o_custkey#", plan_of(block))
     stored = catalog._stored_blocks(spark, sf, bindings.PRIMARY)
     assert all("Join" not in plan_of(block) for block in stored)
