@@ -40,7 +40,8 @@ class FmIndex:
         self.starts = np.concatenate([[len(text)], suffix_array(text, len(text))])
         bwt = np.where(self.starts > 0, text[self.starts - 1], 0)
         n_symbols = int(text.max()) + 1
-        self.before = np.concatenate([[0], np.cumsum(np.bincount(bwt, minlength=n_symbols))[:-1]])
+        self.after = np.cumsum(np.bincount(bwt, minlength=n_symbols))
+        self.before = np.concatenate([[0], self.after[:-1]])
         self.levels = []
         for bit in range(n_symbols.bit_length() - 1, -1, -1):
             ones = (bwt >> bit & 1).astype(bool)
@@ -71,26 +72,34 @@ class FmIndex:
 
 def first_documents(runs: list[list[bytes]], docs: np.ndarray, window: int) -> list[np.ndarray]:
     """For each window of each run the smallest of docs among the runs that hold it."""
-    numbers: dict[bytes, int] = {}
-    rows = [np.array([numbers.setdefault(w, len(numbers) + 2) for w in run] + [1]) for run in runs]
-    text = np.concatenate(rows)
-    sizes = np.array([len(row) for row in rows])
+    words = [w for run in runs for w in run]
+    numbers = {w: k for k, w in enumerate(dict.fromkeys(words), 2)}
+    sizes = np.array([len(run) + 1 for run in runs])
     begins = np.cumsum(sizes) - sizes
+    text = np.ones(sizes.sum(), np.int64)
+    text[np.delete(np.arange(len(text)), begins + sizes - 1)] = [numbers[w] for w in words]
     index = FmIndex(text)
     owner = np.append(np.repeat(docs, sizes), np.iinfo(np.int64).max)
     counts = sizes - window
     nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     at = np.repeat(begins, counts) + nth
-    low, high = np.zeros(len(at), np.int64), np.full(len(at), len(text) + 1)
-    for k in range(window - 1, -1, -1):
-        low, high = index.step(text[at + k], low, high)
+    # What stands in one place alone is that run's own and isn't searched any further.
+    first, last = np.repeat(docs, counts), text[at + window - 1]
+    low, high = index.before[last], index.after[last]
+    on = np.arange(len(at))
+    for k in range(window - 2, -2, -1):
+        several = high - low > 1
+        on, low, high = on[several], low[several], high[several]
+        if k >= 0:
+            low, high = index.step(text[at[on] + k], low, high)
     # Windows of one length have equal or separate intervals.
     lows, which = np.unique(low, return_inverse=True)
     highs = np.zeros(len(lows), np.int64)
     highs[which] = high
     cuts = np.stack([lows, highs], axis=1).ravel()
-    first = np.minimum.reduceat(np.append(owner[index.starts], np.iinfo(np.int64).max), cuts)[::2]
-    return np.split(first[which], np.cumsum(counts)[:-1])
+    least = np.minimum.reduceat(np.append(owner[index.starts], np.iinfo(np.int64).max), cuts)[::2]
+    first[on] = least[which]
+    return np.split(first, np.cumsum(counts)[:-1])
 
 
 class Powers:

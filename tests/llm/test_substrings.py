@@ -63,6 +63,18 @@ def test_first_document_of_each_window():
     assert [x.tolist() for x in found] == [[5, 3], [3], [9, 3, 9]]
 
 
+def test_windows_of_one_place_are_searched_no_further(monkeypatch):
+    runs = [[b"%d" % (k % 7) for k in range(40)] + [b"%s%d" % (x, k) for k in range(50)] for x in (b"a", b"b")]
+    runs += [[b"c%d" % k for k in range(20)]]
+    asked, step = [], FmIndex.step
+    monkeypatch.setattr(FmIndex, "step", lambda self, symbol, *ends: asked.append(len(symbol)) or step(self, symbol, *ends))
+    found = first_documents(runs, np.array([5, 3, 9]), 13)
+    # Of 164 windows, 28 in each of the first two runs hold repeated words alone.
+    assert asked == [56] * 12
+    assert [x.tolist() for x in found] == [[3] * 28 + [5] * 50, [3] * 78, [9] * 8]
+    assert first_documents(runs[2:], np.array([9]), 13)[0].tolist() == [9] * 8
+
+
 def test_no_shard_gets_a_heavy_anchor(spark, rows, monkeypatch):
     rnd = random.Random(6)
     phrase = words(rnd, 12)
