@@ -21,6 +21,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,10 @@ FREQUENT = 1 << 17  # words with a code of their own; all others are escaped and
 SLOT_BITS = 22  # slots of the table of each hashed context
 ORDERS = 2  # hashed contexts: of one word and of two
 RANGES = 64  # parts in which the tables are summed
-GROUP_TOKENS = 120_000  # tokens coded side by side
+GROUP_TOKENS = 40_000  # tokens whose bits are counted at once
+MIXED_TOKENS = 30_000  # tokens whose bits are mixed at once
+LANE_TOKENS = 3_000_000  # tokens of texts that are coded side by side
+LONG_BYTES, LONG_PART = 16_000, 16_000_000  # of a text that is coded beside other long ones, and of such texts in a part
 GATES = 9
 SPELL_BITS = 22  # places of the table of bytes behind three
 SSE_STEPS = 24
@@ -85,7 +89,7 @@ class Code:
         ones = np.bincount(nodes, weight * bits, len(counts))
         zeros = np.bincount(nodes, weight * (1 - bits), len(counts))
         self.node_odds = np.log((ones + PRIOR) / (zeros + PRIOR)).astype(np.float32)
-        self.nodes, self.bits, self.offsets = nodes, bits, offsets
+        self.nodes, self.bits, self.offsets, self.lengths = nodes, bits, offsets, np.diff(offsets)
         self.node_hashes = mixed(np.arange(len(counts), dtype=np.uint64))
 
     @cached_property
@@ -94,26 +98,17 @@ class Code:
 
     def tokens(self, words: list[bytes]) -> np.ndarray:
         get = self.numbers.get
-        return np.fromiter((*(get(w, ESCAPE) for w in words), END), np.int64, len(words) + 1)
+        return np.array([*map(get, words, repeat(ESCAPE)), END], np.int64)
 
-    def spread(self, tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of each bit of the tokens: the node, the bit, and the slots of both hashed contexts.
-
-        first marks the tokens that begin a text.
-        """
-        sizes = self.offsets[tokens + 1] - self.offsets[tokens]
-        nth = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        at = np.repeat(self.offsets[tokens], sizes) + nth
+    def spread(self, tokens: np.ndarray, *contexts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of each bit of the tokens: the node, the bit, and the slots of the hashed contexts."""
+        begin, sizes = self.offsets[tokens], self.lengths[tokens]
+        at = np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+        at += np.arange(len(at))
         nodes = self.nodes[at]
-        back = np.concatenate([[0], tokens[:-1] + 1])
-        back[first] = 0
-        further = np.concatenate([[0], back[:-1]])
-        further[first] = 0
-        one = mixed(back.astype(np.uint64) + np.uint64(1 << 40))
-        two = mixed(one + further.astype(np.uint64))
         spread = self.node_hashes[nodes]
         slots = []
-        for context in (one, two):
+        for context in contexts:
             slot = np.repeat(context, sizes)
             slot ^= spread
             slot *= np.uint64(0x9E3779B97F4A7C15)
@@ -122,6 +117,28 @@ class Code:
         return sizes, nodes, self.bits[at], *slots
 
 
+def contexts(tokens: np.ndarray, at: np.ndarray, nth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the token before each place and of the two before, nth being its number in its text."""
+    back = np.where(nth > 0, tokens[np.maximum(at - 1, 0)] + 1, 0)
+    further = np.where(nth > 1, tokens[np.maximum(at - 2, 0)] + 1, 0)
+    one = mixed(back.astype(np.uint64) + np.uint64(1 << 40))
+    return one, mixed(one + further.astype(np.uint64))
+
+
+def packed(part: np.ndarray) -> bytes:
+    """The counts (0, 1) of a range of slots: steps between the slots with any, and theirs, by the bytes' rank."""
+    at = np.flatnonzero(part[0] | part[1])
+    rows = np.stack([np.diff(at, prepend=0), part[0][at], part[1][at]]).astype(np.uint32)
+    return zlib.compress(rows.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The slots and how often their bits were 0 and 1."""
+    by_rank = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1)
+    steps, zero, one = np.ascontiguousarray(by_rank.T).view(np.uint32).reshape(3, -1)
+    return np.cumsum(steps, dtype=np.int64), zero, one
+
+
 def groups(texts: list[bytes | None], code: Code) -> Iterator[tuple[int, list[list[bytes]], np.ndarray, np.ndarray]]:
     """(first row, words, tokens, where texts begin) of runs of texts with about GROUP_TOKENS tokens."""
     first, words, size = 0, [], 0
@@ -140,9 +157,9 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(0, batch.num_rows, 1500):
+            for first in range(0, batch.num_rows, 5000):
                 found: Counter[bytes] = Counter()
-                for text in bytes_of(batch.column(0).slice(first, 1500)):
+                for text in bytes_of(batch.column(0).slice(first, 5000)):
                     found.update(spaced_words((text or b"").lower()))
                 yield batch_of(word=(pa.binary(), list(found)), n=(pa.int64(), list(found.values())))
 
@@ -166,7 +183,9 @@ def tables(rows: DataFrame, code) -> DataFrame:
         for batch in batches:
             texts = bytes_of(batch.column(0))
             for _, _, tokens, begins in groups(texts, code.value):
-                _, _, bits, *slots = code.value.spread(tokens, begins[:-1])
+                at = np.arange(len(tokens))
+                nth = at - np.repeat(begins[:-1], np.diff(begins))
+                _, _, bits, *slots = code.value.spread(tokens, *contexts(tokens, at, nth))
                 for k, slot in enumerate(slots):
                     np.add.at(seen, (slot + (k << SLOT_BITS)) * 2 + bits, np.uint32(1))
         for k in range(RANGES):
@@ -178,14 +197,10 @@ def tables(rows: DataFrame, code) -> DataFrame:
                     counts=(pa.binary(), [packed(part)]),
                 )
 
-    def packed(part: np.ndarray) -> bytes:
-        at = np.flatnonzero(part.any(axis=0)).astype(np.uint32)
-        return zlib.compress(np.concatenate([at, *part[:, at]]).astype(np.uint32).tobytes(), 1)
-
     def total(pdf: pd.DataFrame) -> pd.DataFrame:
         out = np.zeros((2, per), np.uint32)
         for raw in pdf.counts:
-            at, zero, one = np.frombuffer(zlib.decompress(raw), np.uint32).reshape(3, -1)
+            at, zero, one = unpacked(raw)
             out[0, at] += zero
             out[1, at] += one
         return pd.DataFrame({"range": [pdf.range.iloc[0]], "task": [pdf.task.iloc[0] // 32], "counts": [packed(out)]})
@@ -230,46 +245,72 @@ def spelling(counts: DataFrame) -> list[np.ndarray]:
     return [(one + 0.05) / (one + 0.05).sum(axis=1, keepdims=True), three]
 
 
-def mix(inputs: list[np.ndarray], gates: np.ndarray, bits: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The log probability of each lane's bits, coded one after the other, all lanes side by side.
+class Lanes:
+    """Weights and adaptive tables of texts that are coded side by side."""
 
-    inputs are the predictors' log odds of a 1 for each bit; starts and sizes say which bits are a
-    lane's. Longer lanes come first.
-    """
-    n_lanes, one = len(starts), np.float32(1)
-    lane_gates, lane_cells = np.arange(n_lanes) * GATES, np.arange(n_lanes) * SSE_STEPS
-    weights = [np.full(n_lanes * GATES, w, np.float32) for w in FIRST_WEIGHTS]
-    width = np.float32(16 / SSE_STEPS)
-    refined = np.tile(1 / (1 + np.exp(8 - width * (np.arange(SSE_STEPS) + 0.5))), n_lanes).astype(np.float32)
-    half, rate, sse_rate = np.float32(0.5), np.float32(RATE), np.float32(SSE_RATE)
-    # Bits by step, so that a step's are next to each other.
-    active = np.searchsorted(-sizes, -np.arange(sizes.max(initial=0)), side="left")
-    begins = np.concatenate([[0], np.cumsum(active)])
-    lane = np.arange(begins[-1]) - np.repeat(begins[:-1], active)
-    at = starts[lane] + np.repeat(np.arange(len(active)), active)
-    inputs = [x[at] for x in inputs]
-    gates = gates[at] + lane_gates[lane]
-    bits = bits[at].astype(np.float32)
-    given = np.empty(len(at), np.float32)  # to the bit that comes
-    for a, b in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True):
-        gate, bit = gates[a:b], bits[a:b]
-        xs = [x[a:b] for x in inputs]
-        ws = [w.take(gate) for w in weights]
-        odds = ws[0] * xs[0]
-        for w, x in zip(ws[1:], xs[1:], strict=True):
-            odds += w * x
-        np.clip(odds, -7.99, 7.99, out=odds)
-        p = one / (one + np.exp(-odds))
-        cell = ((odds + np.float32(8)) / width).astype(np.int64)
-        cell += lane_cells[: b - a]
-        q = refined.take(cell)
-        given[a:b] = (p + q) * half
-        miss = (bit - p) * rate
-        for k, x in enumerate(xs):
-            weights[k][gate] = ws[k] + miss * x
-        refined[cell] = q + (bit - q) * sse_rate
-    given = np.clip(np.where(bits > 0, given, one - given), 1e-5, 1 - 1e-5)
-    return np.bincount(lane, np.log(given.astype(np.float64)), n_lanes)
+    def __init__(self, n: int) -> None:
+        self.weights = np.repeat(FIRST_WEIGHTS, n * GATES)
+        self.width = np.float32(16 / SSE_STEPS)
+        first = 1 / (1 + np.exp(8 - self.width * (np.arange(SSE_STEPS) + 0.5)))
+        self.refined = np.tile(first, n).astype(np.float32)
+
+    def mix(
+        self, own: np.ndarray, inputs: list[np.ndarray], gates: np.ndarray, bits: np.ndarray, starts: np.ndarray, sizes: np.ndarray
+    ) -> np.ndarray:
+        """The log probability of the next bits of each of the lanes `own`, one after the other, all lanes side by side.
+
+        inputs are the predictors' log odds of a 1 for each bit; starts and sizes say which bits are a
+        lane's. Longer ones come first.
+        """
+        one, n_gates = np.float32(1), len(self.weights) // len(inputs)
+        # Bits by step, so that a step's are next to each other.
+        active = np.searchsorted(-sizes, -np.arange(sizes.max(initial=0)), side="left")
+        begins = np.concatenate([[0], np.cumsum(active)])
+        lane = np.arange(begins[-1])
+        lane -= np.repeat(begins[:-1], active)
+        at = starts[lane]
+        at += np.repeat(np.arange(len(active)), active)
+        all_xs = np.stack([x.take(at) for x in inputs])
+        gates = gates.take(at)
+        gates += (own * GATES).take(lane)
+        all_gates = gates + np.arange(len(inputs))[:, None] * n_gates
+        bits, cells = bits[at].astype(np.float32), own * SSE_STEPS
+        given = np.empty(len(at), np.float32)  # to the bit that comes
+        weights, refined, width = self.weights, self.refined, self.width
+        half, rate, sse_rate = np.float32(0.5), np.float32(RATE), np.float32(SSE_RATE)
+        low, high, eight = np.float32(-7.99), np.float32(7.99), np.float32(8)
+        for a, b in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True):
+            gate, bit, xs = all_gates[:, a:b], bits[a:b], all_xs[:, a:b]
+            ws = weights.take(gate)
+            odds = np.add.reduce(ws * xs, axis=0)
+            np.maximum(odds, low, out=odds)
+            np.minimum(odds, high, out=odds)
+            p = np.negative(odds)
+            np.exp(p, out=p)
+            p += one
+            np.divide(one, p, out=p)
+            odds += eight
+            odds /= width
+            cell = odds.astype(np.int64)
+            cell += cells[: b - a]
+            q = refined.take(cell)
+            np.add(p, q, out=given[a:b])
+            np.subtract(bit, p, out=p)
+            p *= rate
+            ws += xs * p
+            weights[gate] = ws
+            bit = bit - q
+            bit *= sse_rate
+            bit += q
+            refined[cell] = bit
+        given *= half
+        given = np.clip(np.where(bits > 0, given, one - given), 1e-5, 1 - 1e-5)
+        return np.bincount(lane, np.log(given.astype(np.float64)), len(starts))
+
+
+def mix(inputs: list[np.ndarray], gates: np.ndarray, bits: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The log probability of each lane's bits from the start of its text, see `Lanes.mix`."""
+    return Lanes(len(starts)).mix(np.arange(len(starts)), inputs, gates, bits, starts, sizes)
 
 
 @dataclass
@@ -280,16 +321,30 @@ class Model:
     spell: list[np.ndarray]
 
     def log_probabilities(self, tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """log10 probability of the tokens of each text; begins has its first token, and the end."""
-        sizes, nodes, bits, one, two = self.code.spread(tokens, begins[:-1])
-        two = two + (1 << SLOT_BITS)
-        inputs = [self.code.node_odds[nodes], *(self.odds[slot] * np.float32(1 / 512) for slot in (one, two))]
-        gates = self.seen[one].astype(np.int64) * 3 + self.seen[two]
-        bit_at = np.concatenate([[0], np.cumsum(sizes)])
-        starts, lengths = bit_at[begins[:-1]], np.diff(bit_at[begins])
-        order = np.argsort(-lengths, kind="stable")
-        cost = np.zeros(len(starts))
-        cost[order] = mix(inputs, gates, bits, starts[order], lengths[order])
+        """log10 probability of the tokens of each text; begins has its first token, and the end.
+
+        All texts are coded side by side, about MIXED_TOKENS tokens of them at a time.
+        """
+        counts = np.diff(begins)
+        cost = np.zeros(len(counts))
+        order, done = np.argsort(-counts, kind="stable"), 0
+        lanes = Lanes(len(counts)) if len(tokens) > MIXED_TOKENS else None
+        while len(own := order[: np.count_nonzero(counts > done)]):
+            width = max(1, MIXED_TOKENS // len(own)) if lanes else int(counts.max())
+            n = np.minimum(counts[own] - done, width)
+            begin = np.cumsum(n) - n
+            nth = np.arange(done, done + n.sum()) - np.repeat(begin, n)
+            at = np.repeat(begins[own], n) + nth
+            sizes, nodes, bits, one, two = self.code.spread(tokens[at], *contexts(tokens, at, nth))
+            two = two + (1 << SLOT_BITS)
+            inputs = [self.code.node_odds[nodes], *(self.odds[slot] * np.float32(1 / 512) for slot in (one, two))]
+            gates = self.seen[one].astype(np.int64) * 3 + self.seen[two]
+            bit_at = np.concatenate([[0], np.cumsum(sizes)])
+            starts, lengths = bit_at[begin], bit_at[begin + n] - bit_at[begin]
+            longest = np.argsort(-lengths, kind="stable")
+            given = (inputs, gates, bits, starts[longest], lengths[longest])
+            cost[own[longest]] += lanes.mix(own[longest], *given) if lanes else mix(*given)
+            done += width
         return cost / np.log(10)
 
     def spelled(self, words: list[bytes]) -> np.ndarray:
@@ -315,8 +370,8 @@ def trained(rows: DataFrame, counts: DataFrame, n_texts: int, n_words: int) -> M
     size = (ORDERS << SLOT_BITS) // RANGES
     odds, seen = np.zeros(ORDERS << SLOT_BITS, np.int16), np.zeros(ORDERS << SLOT_BITS, np.int8)
     for part, raw in tables(rows, shared).toLocalIterator():  # of a fixed total size
-        at, zero, one = np.frombuffer(zlib.decompress(raw), np.uint32).reshape(3, -1)
-        at = at.astype(np.int64) + part * size
+        at, zero, one = unpacked(raw)
+        at += part * size
         odds[at] = np.round(512 * np.log((one + PRIOR) / (zero + PRIOR)))
         seen[at] = np.where(zero + one > 15, 2, 1)
     return Model(code, odds, seen, spelling(counts))
@@ -338,50 +393,73 @@ def mixing_scores(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     learned = docs.where((crc_mod("doc_id", 7) >= 0) & (crc_mod("doc_id", 7) != 2))
     counts = stored(word_counts(learned), "word-counts")
-    n_texts = learned.count()
+    is_long = F.coalesce(F.octet_length("text") > LONG_BYTES, F.lit(False))
+    sizes = docs.agg(
+        F.count_if((crc_mod("doc_id", 7) >= 0) & (crc_mod("doc_id", 7) != 2)).alias("learned"),
+        F.coalesce(F.sum(F.when(is_long, F.octet_length("text").cast("long"))), F.lit(0)).alias("long"),
+    ).first()
+    n_texts = sizes.learned
     told = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_train, n_distinct = told.n + n_texts, told.v + (n_texts > 0)
     share = float(np.log10(n_train + n_distinct + 1))
     model = spark.sparkContext.broadcast(trained(learned, counts, n_texts, told.n))
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own, out, tails = model.value, [], []
+        own, out, costs, coded = model.value, [], [], []
+        rare_words, rare_times, rare_ends = [], [], [0]
         logs = np.log10(own.code.counts + 1.0)
-        known, numbers = own.code.counts > 0, own.code.numbers
+        known = own.code.counts > 0
         texts = bytes_of(batch.column(1))
+
+        def code() -> None:
+            begins = np.cumsum([0] + [len(x) for x in coded])
+            costs.append(own.log_probabilities(np.concatenate(coded), begins))
+            coded.clear()
+
         for first, words, tokens, begins in groups(texts, own.code):
-            cost = own.log_probabilities(tokens, begins)
+            coded.extend(np.split(tokens.astype(np.int32), begins[1:-1]))
             frequent = tokens != ESCAPE
             base = np.add.reduceat(np.where(frequent, logs[tokens], 0), begins[:-1])
             n_known = np.add.reduceat((frequent & known[tokens]).astype(np.int64), begins[:-1])
-            new = sorted({w for found in words for w in found if w not in numbers})
+            rare = [Counter([found[i] for i in np.flatnonzero(x == ESCAPE).tolist()]) for found, x in zip(words, coded[-len(words) :], strict=True)]
+            new = sorted(set().union(*rare))
             spelled = dict(zip(new, own.spelled(new).tolist(), strict=True)) if new else {}
             for k, found in enumerate(words):
-                rare = Counter(w for w in found if w not in numbers)
-                cost[k] += sum([n * spelled[w] for w, n in rare.items()])
-                text = texts[first + k] or b""
-                out.append((len(found) + 1, int(n_known[k]), float(base[k]), float(cost[k]), len(text), xxhash.xxh3_64_intdigest(text) >> 1))
-                tails.append([{"word": w, "times": n} for w, n in rare.items()])
-        n, n_known, base, cost, size, row = zip(*out, strict=True)
+                text, extra = texts[first + k] or b"", sum([n * spelled[w] for w, n in rare[k].items()])
+                out.append((len(found) + 1, int(n_known[k]), float(base[k]), extra, len(text), xxhash.xxh3_64_intdigest(text) >> 1))
+                rare_words.extend(rare[k])
+                rare_times.extend(rare[k].values())
+                rare_ends.append(len(rare_words))
+            if sum(map(len, coded)) >= LANE_TOKENS:
+                code()
+        if coded:
+            code()
+        n, n_known, base, extra, size, row = zip(*out, strict=True)
+        rare_items = pa.StructArray.from_arrays(
+            [pa.array(rare_words, pa.binary()), pa.array(rare_times, pa.int64())], names=["word", "times"]
+        )
         return batch_of(
             doc_id=(pa.int64(), batch.column(0)),
             row=(pa.int64(), row),
             n_tokens=(pa.int64(), n),
             n_known=(pa.int64(), n_known),
             base=(pa.float64(), base),
-            score=(pa.float64(), cost),
+            score=(pa.float64(), np.concatenate(costs) + np.array(extra, float)),
             n_bytes=(pa.int64(), size),
-            rare=(pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])), tails),
+            rare=(pa.list_(rare_items.type), pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), rare_items)),
         )
 
-    scored = stored(
-        docs.mapInArrow(
+    # A few long texts beside many short ones would make most steps those of a few lanes.
+    parts = docs.where(~is_long), docs.where(is_long).repartition(int(sizes.long // LONG_PART) + 1)
+    short, long = (
+        rows.mapInArrow(
             by_batch(make),
             "doc_id long, row long, n_tokens long, n_known long, base double, score double, n_bytes long,"
             " rare array<struct<word:binary,times:long>>",
-        ),
-        "mixing-scores",
+        )
+        for rows in parts
     )
+    scored = stored(short.unionAll(long), "mixing-scores")
     rare = (
         scored.dropDuplicates(["doc_id", "row"])
         .select("doc_id", "row", F.inline("rare"))

@@ -95,3 +95,40 @@ def test_all_bits_of_a_whole_text_are_mixed_in_one_lane(monkeypatch):
     bits = np.diff(code.offsets)[tokens]
     assert seen[0].tolist() == [bits[:801].sum(), bits[801:].sum()]
     assert (got < 0).all()
+
+
+def test_passes_over_all_texts_score_each_as_alone(monkeypatch):
+    rnd = np.random.default_rng(4)
+    code = m.Code([b"w%d" % k for k in range(40)], rnd.integers(1, 900, 42))
+    size = m.ORDERS << m.SLOT_BITS
+    model = m.Model(code, rnd.integers(-2000, 2000, size).astype(np.int16), rnd.integers(0, 3, size).astype(np.int8), [])
+    texts = [np.append(rnd.integers(1, 42, n), m.END) for n in [*range(25), 300, 0, 7]]
+    tokens, begins = np.concatenate(texts), np.cumsum([0] + [len(x) for x in texts])
+    alone = [model.log_probabilities(x, np.array([0, len(x)]))[0] for x in texts]
+    assert np.allclose(model.log_probabilities(tokens, begins), alone, rtol=1e-9)
+    lanes, mixed = [], m.Lanes.mix
+    monkeypatch.setattr(m.Lanes, "mix", lambda self, own, *given: lanes.append(len(own)) or mixed(self, own, *given))
+    monkeypatch.setattr(m, "MIXED_TOKENS", 60)
+    assert np.allclose(model.log_probabilities(tokens, begins), alone, rtol=1e-9)
+    # All that go on are coded in one pass, however many there are; the longest ends alone.
+    assert lanes[0] == 28 and lanes[-1] == 1 and lanes == sorted(lanes, reverse=True)
+
+
+def test_long_texts_are_scored_as_before_beside_each_other(spark, monkeypatch):
+    texts = language(3, 60)
+    whole = {r.doc_id: r for r in m.mixing_scores(documents(spark, texts)).collect()}
+    monkeypatch.setattr(m, "LONG_BYTES", 100)
+    monkeypatch.setattr(m, "LONG_PART", 2000)
+    got = {r.doc_id: r for r in m.mixing_scores(documents(spark, texts)).collect()}
+    assert got.keys() == whole.keys()
+    for k, r in got.items():
+        assert math.isclose(r.score, whole[k].score, rel_tol=1e-9) and r.n_tokens == whole[k].n_tokens
+
+
+def test_packed_counts_come_back():
+    counts = np.zeros((2, 70_000), np.uint32)
+    counts[:, [0, 3, 4, 66_000]] = [[1, 0, 300, 5], [0, 2**32 - 1, 70_000, 0]]
+    at, zero, one = m.unpacked(m.packed(counts))
+    assert at.tolist() == [0, 3, 4, 66_000]
+    assert zero.tolist() == [1, 0, 300, 5] and one.tolist() == [0, 2**32 - 1, 70_000, 0]
+    assert [len(x) for x in m.unpacked(m.packed(np.zeros((2, 9), np.uint32)))] == [0, 0, 0]
