@@ -19,8 +19,8 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
-from functools import cached_property
+from dataclasses import InitVar, dataclass
+from functools import cached_property, reduce
 from itertools import repeat
 
 import numpy as np
@@ -40,7 +40,8 @@ RANGES = 64  # parts in which the tables are summed
 GROUP_TOKENS = 40_000  # tokens whose bits are counted at once
 MIXED_TOKENS = 30_000  # tokens whose bits are mixed at once
 LANE_TOKENS = 3_000_000  # tokens of texts that are coded side by side
-LONG_BYTES, LONG_PART = 16_000, 16_000_000  # of a text that is coded beside other long ones, and of such texts in a part
+LONG_BYTES = (16_000, 50_000)  # texts above either are coded beside others of that length
+LONG_PART = 16_000_000  # bytes of long texts in a part
 GATES = 9
 SPELL_BITS = 22  # places of the table of bytes behind three
 SSE_STEPS = 24
@@ -316,10 +317,13 @@ def mix(inputs: list[np.ndarray], gates: np.ndarray, bits: np.ndarray, starts: n
 @dataclass
 class Model:
     code: Code
-    odds: np.ndarray  # log odds of each slot, in 1/512
-    seen: np.ndarray  # 0: never, 1: up to 15 times, 2: more
+    odds: InitVar[np.ndarray]  # log odds of each slot, in 1/512
+    seen: InitVar[np.ndarray]  # 0: never, 1: up to 15 times, 2: more
     spell: list[np.ndarray]
 
+    def __post_init__(self, odds: np.ndarray, seen: np.ndarray) -> None:
+        self.slots = odds.astype(np.int32) << 2 | seen.astype(np.int32)  # both, to be looked up at once
+
     def log_probabilities(self, tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """log10 probability of the tokens of each text; begins has its first token, and the end.
 
@@ -336,9 +340,10 @@ class Model:
             nth = np.arange(done, done + n.sum()) - np.repeat(begin, n)
             at = np.repeat(begins[own], n) + nth
             sizes, nodes, bits, one, two = self.code.spread(tokens[at], *contexts(tokens, at, nth))
-            two = two + (1 << SLOT_BITS)
-            inputs = [self.code.node_odds[nodes], *(self.odds[slot] * np.float32(1 / 512) for slot in (one, two))]
-            gates = self.seen[one].astype(np.int64) * 3 + self.seen[two]
+            two += 1 << SLOT_BITS
+            found = self.slots.take(one), self.slots.take(two)
+            inputs = [self.code.node_odds.take(nodes), *((x >> 2).astype(np.float32) * np.float32(1 / 512) for x in found)]
+            gates = ((found[0] & 3) * 3 + (found[1] & 3)).astype(np.int64)
             bit_at = np.concatenate([[0], np.cumsum(sizes)])
             starts, lengths = bit_at[begin], bit_at[begin + n] - bit_at[begin]
             longest = np.argsort(-lengths, kind="stable")
@@ -393,10 +398,11 @@ def mixing_scores(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     learned = docs.where((crc_mod("doc_id", 7) >= 0) & (crc_mod("doc_id", 7) != 2))
     counts = stored(word_counts(learned), "word-counts")
-    is_long = F.coalesce(F.octet_length("text") > LONG_BYTES, F.lit(False))
+    n_bytes = F.coalesce(F.octet_length("text").cast("long"), F.lit(0))
+    length = sum(((n_bytes > limit).cast("int") for limit in LONG_BYTES), F.lit(0))
     sizes = docs.agg(
         F.count_if((crc_mod("doc_id", 7) >= 0) & (crc_mod("doc_id", 7) != 2)).alias("learned"),
-        F.coalesce(F.sum(F.when(is_long, F.octet_length("text").cast("long"))), F.lit(0)).alias("long"),
+        *(F.coalesce(F.sum(F.when(length == k, n_bytes)), F.lit(0)).alias(f"long_{k}") for k in range(len(LONG_BYTES) + 1)),
     ).first()
     n_texts = sizes.learned
     told = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -450,16 +456,18 @@ def mixing_scores(docs: DataFrame) -> DataFrame:
         )
 
     # A few long texts beside many short ones would make most steps those of a few lanes.
-    parts = docs.where(~is_long), docs.where(is_long).repartition(int(sizes.long // LONG_PART) + 1)
-    short, long = (
+    dealt = [docs.where(length == 0)]
+    for k in range(1, len(LONG_BYTES) + 1):
+        dealt.append(docs.where(length == k).repartition(int(sizes[f"long_{k}"] // LONG_PART) + 1))
+    parts = [
         rows.mapInArrow(
             by_batch(make),
             "doc_id long, row long, n_tokens long, n_known long, base double, score double, n_bytes long,"
             " rare array<struct<word:binary,times:long>>",
         )
-        for rows in parts
-    )
-    scored = stored(short.unionAll(long), "mixing-scores")
+        for rows in dealt
+    ]
+    scored = stored(reduce(DataFrame.unionAll, parts), "mixing-scores")
     rare = (
         scored.dropDuplicates(["doc_id", "row"])
         .select("doc_id", "row", F.inline("rare"))

@@ -117,7 +117,7 @@ def test_passes_over_all_texts_score_each_as_alone(monkeypatch):
 def test_long_texts_are_scored_as_before_beside_each_other(spark, monkeypatch):
     texts = language(3, 60)
     whole = {r.doc_id: r for r in m.mixing_scores(documents(spark, texts)).collect()}
-    monkeypatch.setattr(m, "LONG_BYTES", 100)
+    monkeypatch.setattr(m, "LONG_BYTES", (100, 200))
     monkeypatch.setattr(m, "LONG_PART", 2000)
     got = {r.doc_id: r for r in m.mixing_scores(documents(spark, texts)).collect()}
     assert got.keys() == whole.keys()
