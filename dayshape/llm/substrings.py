@@ -5,9 +5,9 @@ the window. So only runs of windows around an anchor that several documents shar
 reduces equal runs to one with its first document, and the distinct runs of an anchor go to one
 shard. A shard indexes them (Burrows-Wheeler transform in a wavelet matrix of packed bits) and
 streams them through backward search: after `window` steps the interval of a window is known, and
-with it the first document that has it; windows that stand in one place drop out on the way. Anchors with more than HEAVY_WORDS words of distinct runs
-don't go to a shard: their runs are cut into windows, which Spark groups. The first documents are
-then joined back to the places.
+with it the first document that has it; windows that stand in one place drop out on the way.
+Anchors with more than HEAVY_WORDS words of distinct runs don't go to a shard: their runs are cut
+into windows, which Spark groups. The first documents are then joined back to the places.
 Rows whose words are all those of another are set aside before, however many there are.
 """
 
